@@ -16,8 +16,8 @@ def token(text: str | Column, position: int, separator: str = " ") -> Column:
 
 
 def words(text: str | Column) -> Column:
-    """Tokens between blanks, empty ones removed."""
-    return F.filter(F.split(_column(text), " "), lambda word: F.length(word) > 0)
+    """Tokens of the text's lines between blanks, empty ones removed."""
+    return F.filter(F.split(_column(text), "[ \n]"), lambda word: F.length(word) > 0)
 
 
 def lines(text: str | Column) -> Column:

@@ -82,6 +82,16 @@ def word_counts(df: DataFrame, words: Column) -> DataFrame:
     return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("word").alias("n"))
 
 
+def word_counts_by_partition(df: DataFrame, spread: Column, partitions: int, words: Column) -> DataFrame:
+    """Words counted inside each of ``partitions`` partitions, with the partition's index.
+
+    ``spread`` is a whole number; rows go to the partition of its remainder.
+    """
+    placed = df.repartitionById(partitions, F.pmod(spread, F.lit(partitions)).cast("int"))
+    tagged = placed.select(F.spark_partition_id().alias("part"), F.explode(words).alias("word"))
+    return tagged.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 __all__ = [
     "count_by",
     "exact",
@@ -94,4 +104,5 @@ __all__ = [
     "sum_and_count",
     "sum_by",
     "word_counts",
+    "word_counts_by_partition",
 ]

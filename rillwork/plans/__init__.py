@@ -4,7 +4,7 @@ from importlib import import_module
 
 from rillwork.plans.registry import REGISTERED, Query
 
-MODULES = ("retail",)
+MODULES = ("retail", "timeseries", "history", "logs", "keyed", "shapes", "files", "streams")
 
 
 def all_queries() -> dict[str, Query]:

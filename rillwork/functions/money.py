@@ -1,4 +1,10 @@
-"""Exact sums of amounts held as doubles."""
+"""Exact sums of amounts held as doubles with at most two decimals.
+
+Amounts are added up as whole cents: the sum does not depend on row order, and
+whole numbers add several times faster than decimals made from doubles.  A sum
+beyond 9.2e16 units of currency raises an overflow error under Spark's default
+ANSI mode.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +12,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact(amount: str | Column) -> Column:
-    """The amount as a decimal of two places, so that sums do not depend on row order."""
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast("decimal(18,2)")
+def _column(amount: str | Column) -> Column:
+    return F.col(amount) if isinstance(amount, str) else amount
+
+
+def cents(amount: str | Column) -> Column:
+    return F.rint(_column(amount) * 100).cast("bigint")
 
 
 def total(amount: str | Column) -> Column:
-    """Exact sum, still a decimal so that it can be summed again."""
-    return F.sum(exact(amount))
+    """Exact sum in cents, which can be summed again."""
+    return F.sum(cents(amount))
 
 
-def as_double(amount: str | Column) -> Column:
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return column.cast("double")
+def as_amount(in_cents: str | Column) -> Column:
+    """Cents as a double: the one nearest to the exact amount."""
+    return (_column(in_cents).cast("decimal(20,0)") / 100).cast("double")
 
 
 def discounted(price: str | Column, percent: float) -> Column:
     """The price less ``percent`` percent, computed in decimals."""
     keep = F.lit(str(100 - percent)).cast("decimal(9,4)") / F.lit(100)
-    return (exact(price) * keep).cast("double")
+    return (_column(price).cast("decimal(18,2)") * keep).cast("double")

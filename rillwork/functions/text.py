@@ -17,7 +17,8 @@ def token(text: str | Column, position: int, separator: str = " ") -> Column:
 
 def words(text: str | Column) -> Column:
     """Tokens of the text's lines between blanks, empty ones removed."""
-    return F.filter(F.split(_column(text), "[ \n]"), lambda word: F.length(word) > 0)
+    one_line = F.replace(_column(text), F.lit("\n"), F.lit(" "))
+    return F.array_remove(F.split(one_line, " "), "")
 
 
 def lines(text: str | Column) -> Column:
@@ -26,7 +27,8 @@ def lines(text: str | Column) -> Column:
 
 def blank_lines(text: str | Column) -> Column:
     """How many lines of the text are empty."""
-    return F.size(F.filter(lines(text), lambda line: F.length(line) == 0)).cast("bigint")
+    every = lines(text)
+    return (F.size(every) - F.size(F.array_remove(every, ""))).cast("bigint")
 
 
 def api_name(link: str | Column) -> Column:

@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_double, exact, total
+from rillwork.functions.money import as_amount, total
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], amount: str, name: str = "mean") -> DataFrame:
     """Mean amount per key from an exact sum and a count."""
-    return df.groupBy(*keys).agg((as_double(total(amount)) / F.count(amount)).alias(name))
+    return df.groupBy(*keys).agg((as_amount(total(amount)) / F.count(amount)).alias(name))
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], amount: str, name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(as_double(total(amount)).alias(name))
+    return df.groupBy(*keys).agg(as_amount(total(amount)).alias(name))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -24,7 +24,7 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
 
 
 def sum_and_count(df: DataFrame, amount: str) -> DataFrame:
-    return df.agg(as_double(total(amount)).alias("total"), F.count(amount).alias("n"))
+    return df.agg(as_amount(total(amount)).alias("total"), F.count(amount).alias("n"))
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -66,7 +66,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], counted: str) -> DataFram
 
 def fill_with_mean(df: DataFrame, amount: str) -> DataFrame:
     """Null amounts replaced by the mean of the others."""
-    mean = df.agg((as_double(total(amount)) / F.count(amount)).alias("mean")).scalar()
+    mean = df.agg((as_amount(total(amount)) / F.count(amount)).alias("mean")).scalar()
     return df.withColumn(amount, F.coalesce(F.col(amount), mean))
 
 
@@ -90,19 +90,3 @@ def word_counts_by_partition(df: DataFrame, spread: Column, partitions: int, wor
     placed = df.repartitionById(partitions, F.pmod(spread, F.lit(partitions)).cast("int"))
     tagged = placed.select(F.spark_partition_id().alias("part"), F.explode(words).alias("word"))
     return tagged.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))
-
-
-__all__ = [
-    "count_by",
-    "exact",
-    "fill_with_mean",
-    "fold_highest",
-    "last_by",
-    "mean_by",
-    "parity_totals",
-    "share_of_total",
-    "sum_and_count",
-    "sum_by",
-    "word_counts",
-    "word_counts_by_partition",
-]

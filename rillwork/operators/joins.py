@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.operators.ordered import GROUP_ROWS, lookup, positions
+from rillwork.operators.ordered import GROUP_ROWS, positions
 
 #: Rows up to which a dimension may be sent to every executor.
 BROADCAST_ROWS = 1_000_000
@@ -102,17 +102,3 @@ def listed(df: DataFrame, column: str, values: Sequence[int]) -> DataFrame:
     """Rows whose ``column`` is in a short list given by the caller."""
     wanted = df.sparkSession.createDataFrame([(v,) for v in values], f"_wanted {df.schema[column].dataType.simpleString()}")
     return df.join(F.broadcast(wanted), F.col(column) == F.col("_wanted"), "left_semi")
-
-
-__all__ = [
-    "cogroup",
-    "full_outer",
-    "inner",
-    "left_outer",
-    "listed",
-    "lookup",
-    "right_outer",
-    "value_lists",
-    "with_dimension",
-    "without",
-]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_double, total
+from rillwork.functions.money import as_amount, total
 
 
 def pivot_total(
@@ -20,7 +20,7 @@ def pivot_total(
     sums = df.groupBy(row, column).agg(total(amount).alias("_sum"))
     turned = sums.groupBy(row).pivot(column, list(values) if values is not None else None)
     out = turned.agg(F.sum("_sum"))
-    return out.select(row, *[as_double(F.col(f"`{c}`")).alias(c) for c in out.columns if c != row])
+    return out.select(row, *[as_amount(F.col(f"`{c}`")).alias(c) for c in out.columns if c != row])
 
 
 def unpivot(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import exact
+from rillwork.functions.money import as_amount, cents
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
     GROUP_ROWS,
@@ -70,7 +70,7 @@ def centred_average(
 
     def compute(rows, window):
         frame = window.rowsBetween(-1, 1)
-        total = F.sum(exact(value)).over(frame).cast("double")
+        total = as_amount(F.sum(cents(value)).over(frame))
         count = F.count(value).over(frame)
         return rows.withColumns(
             {"frame_total": total, "frame_rows": count, "centred_average": F.try_divide(total, count)}
@@ -104,8 +104,8 @@ def cumulative_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Exact running sum within the key."""
-    summed = running(df, keys, order, {"cumulative_sum": exact(value)}, group_rows=group_rows)
-    return summed.withColumn("cumulative_sum", F.col("cumulative_sum").cast("double"))
+    summed = running(df, keys, order, {"cumulative_sum": cents(value)}, group_rows=group_rows)
+    return summed.withColumn("cumulative_sum", as_amount("cumulative_sum"))
 
 
 def event_gaps(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rillwork.functions.money import as_double, total
+from rillwork.functions.money import as_amount, total
 from rillwork.functions.times import within_days
 from rillwork.operators.joins import without
 from rillwork.operators.ordering import sorted_within, top_values
@@ -47,7 +47,7 @@ def _year():
 
 
 def _per_order():
-    return as_double(F.sum("revenue")) / F.countDistinct("l_orderkey")
+    return as_amount(F.sum("revenue")) / F.countDistinct("l_orderkey")
 
 
 @query("SELECT count(*) AS n FROM orders")
@@ -100,7 +100,7 @@ def avg_revenue_per_month(t: Tables) -> DataFrame:
 )
 def revenue_per_year_month(t: Tables) -> DataFrame:
     joined = orders_with_totals(t, _year(), F.month("o_orderdate").alias("mnth"))
-    return joined.groupBy("yr", "mnth").agg(as_double(F.sum("revenue")).alias("revenue")).orderBy("yr", "mnth")
+    return joined.groupBy("yr", "mnth").agg(as_amount(F.sum("revenue")).alias("revenue")).orderBy("yr", "mnth")
 
 
 def _department_years(t: Tables) -> DataFrame:
@@ -115,7 +115,7 @@ def _department_years(t: Tables) -> DataFrame:
     return (
         sold.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("department", "yr")
-        .agg(as_double(F.sum("revenue")).alias("revenue"))
+        .agg(as_amount(F.sum("revenue")).alias("revenue"))
     )
 
 
@@ -172,7 +172,7 @@ def _sold_products(t: Tables, *by) -> DataFrame:
     GROUP BY 1 ORDER BY 2 DESC"""
 )
 def product_revenue(t: Tables) -> DataFrame:
-    revenue = as_double(F.sum("revenue")).alias("revenue")
+    revenue = as_amount(F.sum("revenue")).alias("revenue")
     return _sold_products(t).groupBy("p_name").agg(revenue).orderBy(F.col("revenue").desc(), "p_name")
 
 
@@ -182,7 +182,7 @@ def product_revenue(t: Tables) -> DataFrame:
         FROM {LINES} JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)) WHERE rank <= 5"""
 )
 def top5_products_per_year(t: Tables) -> DataFrame:
-    revenue = as_double(F.sum("revenue")).alias("revenue")
+    revenue = as_amount(F.sum("revenue")).alias("revenue")
     products = _sold_products(t, _year()).groupBy("yr", "p_name").agg(revenue)
     falling = Window.partitionBy("yr").orderBy(F.col("revenue").desc())
     # The rank limit is applied in every task before the rows of a year meet.
@@ -205,7 +205,7 @@ def popular_categories(t: Tables) -> DataFrame:
 )
 def category_revenue_per_quarter(t: Tables) -> DataFrame:
     quarter = F.concat(F.lit("Q_"), F.quarter("o_orderdate").cast("string")).alias("qtr")
-    revenue = as_double(F.sum("revenue")).alias("revenue")
+    revenue = as_amount(F.sum("revenue")).alias("revenue")
     return _sold_products(t, _year(), quarter).groupBy("p_type", "yr", "qtr").agg(revenue)
 
 
@@ -216,7 +216,7 @@ def category_revenue_per_quarter(t: Tables) -> DataFrame:
 def status_orders_over(t: Tables) -> DataFrame:
     orders = t.orders.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_orderdate")
     joined = order_totals(t).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    summed = joined.groupBy("o_orderkey", "o_orderdate").agg(as_double(F.sum("revenue")).alias("revenue"))
+    summed = joined.groupBy("o_orderkey", "o_orderdate").agg(as_amount(F.sum("revenue")).alias("revenue"))
     return summed.filter(F.col("revenue") > 100000).orderBy(F.col("revenue").desc(), "o_orderkey")
 
 
@@ -258,7 +258,7 @@ def top3_customers_per_year(t: Tables) -> DataFrame:
     name = F.concat_ws("_", "c_name", "c_mktsegment").alias("name")
     customers = t.customer.select("c_custkey", name)
     named = bought.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    sums = named.groupBy("yr", "name").agg(as_double(F.sum("revenue")).alias("revenue"))
+    sums = named.groupBy("yr", "name").agg(as_amount(F.sum("revenue")).alias("revenue"))
     falling = Window.partitionBy("yr").orderBy(F.col("revenue").desc())
     ranked = sums.withColumn("rank", F.dense_rank().over(falling)).filter(F.col("rank") <= 3)
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))

@@ -83,10 +83,12 @@ def word_counts(df: DataFrame, words: Column) -> DataFrame:
 
 
 def word_counts_by_partition(df: DataFrame, spread: Column, partitions: int, words: Column) -> DataFrame:
-    """Words counted inside each of ``partitions`` partitions, with the partition's index.
+    """Words counted per partition of the rows, each in the partition of that index.
 
-    ``spread`` is a whole number; rows go to the partition of its remainder.
+    ``spread`` is a whole number; a row belongs to the partition of its remainder.
+    Only the counts move to their partition, the texts stay where they are read.
     """
-    placed = df.repartitionById(partitions, F.pmod(spread, F.lit(partitions)).cast("int"))
-    tagged = placed.select(F.spark_partition_id().alias("part"), F.explode(words).alias("word"))
-    return tagged.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))
+    part = F.pmod(spread, F.lit(partitions)).cast("int").alias("_part")
+    counted = df.select(part, F.explode(words).alias("word")).groupBy("_part", "word")
+    placed = counted.agg(F.count(F.lit(1)).alias("n")).repartitionById(partitions, F.col("_part"))
+    return placed.select(F.spark_partition_id().alias("part"), "word", "n")

@@ -171,7 +171,8 @@ def running_sliced(
         *[F.sum(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in sums],
         *[F.max(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in maxes],
     )
-    joined = lookup(own, before, [*keys, SLICE])
+    # Slices are ranges, so hot keys and slices meet in at most 2 * rows / group_rows + 1 pairs.
+    joined = lookup(own, before, [*keys, SLICE], to_all=True)
     whole = {
         n: F.when(F.col(n).isNull(), F.col(f"_b_{n}")).otherwise(
             F.col(n) + F.coalesce(F.col(f"_b_{n}"), F.lit(0))

@@ -8,9 +8,8 @@ when its size is known to be below the limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rillwork.functions.money import as_amount, total
 from rillwork.functions.times import within_days
@@ -156,11 +155,11 @@ def top2_rank_per_category(t: Tables) -> DataFrame:
     return top_values(suppliers.select("n_name", "s_name", "s_acctbal"), ["n_name"], "s_acctbal", 2, dense=False)
 
 
-def _sold_products(t: Tables, *by) -> DataFrame:
-    """Revenue and lines per product, with its name and type."""
-    names = [c for c in ("yr", "qtr") if any(c in str(b) for b in by)]
-    lines = lines_with_orders(t, "l_partkey", *by, "l_extendedprice")
-    sold = lines.groupBy("l_partkey", *names).agg(
+def _sold_products(t: Tables, **periods: Column) -> DataFrame:
+    """Revenue and lines per product and period, with the product's name and type."""
+    named = [period.alias(name) for name, period in periods.items()]
+    lines = lines_with_orders(t, "l_partkey", *named, "l_extendedprice")
+    sold = lines.groupBy("l_partkey", *periods).agg(
         total("l_extendedprice").alias("revenue"), F.count(F.lit(1)).alias("lines")
     )
     parts = t.part.select("p_partkey", "p_name", "p_type")
@@ -183,7 +182,7 @@ def product_revenue(t: Tables) -> DataFrame:
 )
 def top5_products_per_year(t: Tables) -> DataFrame:
     revenue = as_amount(F.sum("revenue")).alias("revenue")
-    products = _sold_products(t, _year()).groupBy("yr", "p_name").agg(revenue)
+    products = _sold_products(t, yr=F.year("o_orderdate")).groupBy("yr", "p_name").agg(revenue)
     falling = Window.partitionBy("yr").orderBy(F.col("revenue").desc())
     # The rank limit is applied in every task before the rows of a year meet.
     ranked = products.withColumn("rank", F.rank().over(falling)).filter(F.col("rank") <= 5)
@@ -204,9 +203,9 @@ def popular_categories(t: Tables) -> DataFrame:
         {REVENUE} AS revenue FROM {LINES} JOIN part ON p_partkey = l_partkey GROUP BY 1, 2, 3"""
 )
 def category_revenue_per_quarter(t: Tables) -> DataFrame:
-    quarter = F.concat(F.lit("Q_"), F.quarter("o_orderdate").cast("string")).alias("qtr")
+    quarter = F.concat(F.lit("Q_"), F.quarter("o_orderdate").cast("string"))
     revenue = as_amount(F.sum("revenue")).alias("revenue")
-    return _sold_products(t, _year(), quarter).groupBy("p_type", "yr", "qtr").agg(revenue)
+    return _sold_products(t, yr=F.year("o_orderdate"), qtr=quarter).groupBy("p_type", "yr", "qtr").agg(revenue)
 
 
 @query(

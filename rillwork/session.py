@@ -38,7 +38,6 @@ def shared_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="rillwork-")
-        spark.conf.set(CHECKPOINT_CONF, root)
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,11 @@ def _avro():
     return avro
 
 
+def read_avro_schema(path: str) -> str:
+    """The text of an Avro schema file on the driver, as ``decode`` takes it."""
+    return Path(path).read_text(encoding="utf-8")
+
+
 def encode(record: Column, codec: str) -> Column:
     """A struct as payload bytes.  ``avro`` needs the spark-avro package on the class path."""
     if codec == "json":

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rillwork.operators.ordered import GROUP_ROWS, positions
 
 #: Rows up to which a dimension may be sent to every executor.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 
 
 def inner(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -62,9 +62,9 @@ def value_lists(
     """The sorted values of each key as lists of at most ``chunk_rows`` values.
 
     List 0 holds a key's first values, list 1 the next, and so on: a key of any
-    size is kept whole without ever being one row.
+    size is kept whole without ever being one row.  Values are meant to be mostly
+    distinct within a key, as ids are; the order of equal ones does not show.
     """
-    # Equal values are interchangeable, so the order of ties does not show.
     numbered = positions(df.select(key, value), [key], [value], "_place", group_rows)
     chunk = F.floor((F.col("_place") - 1) / F.lit(chunk_rows)).cast("bigint")
     lists = numbered.withColumn("chunk", chunk).groupBy(key, "chunk")
@@ -100,5 +100,6 @@ def cogroup(
 
 def listed(df: DataFrame, column: str, values: Sequence[int]) -> DataFrame:
     """Rows whose ``column`` is in a short list given by the caller."""
-    wanted = df.sparkSession.createDataFrame([(v,) for v in values], f"_wanted {df.schema[column].dataType.simpleString()}")
+    kind = df.schema[column].dataType.simpleString()
+    wanted = df.sparkSession.createDataFrame([(v,) for v in values], f"_wanted {kind}")
     return df.join(F.broadcast(wanted), F.col(column) == F.col("_wanted"), "left_semi")

@@ -73,7 +73,8 @@ def replace_each_batch(
 ) -> StreamingQuery:
     """Complete output: every batch writes the whole result to a folder of its own.
 
-    A batch that is run again after a failure overwrites its own folder.
+    A batch that is run again after a failure overwrites its own folder.  Folders
+    of earlier batches stay until someone removes them.
     """
 
     def write(result: DataFrame, batch: int) -> None:

@@ -28,7 +28,7 @@ from rillwork.session import cut_lineage
 
 #: Rows of one key that a single task may sort.
 GROUP_ROWS = 5_000_000
-#: Hot keys are at most table rows / GROUP_ROWS; more than this many are joined, not broadcast.
+#: Rows of keys or key totals up to which they are sent to every executor; more are joined.
 BROADCAST_KEYS = 100_000
 
 SLICE = "_slice"
@@ -233,16 +233,17 @@ def ranks(
     if part.hot is None:
         return plain
 
-    counts = part.hot.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_n"))
-    # The counts are read twice below: once for the totals and once per row.
+    # Read several times below: counted, added up, and looked up per row.
+    counts = cut_lineage(part.hot.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_n")))
+    few = counts.count() <= BROADCAST_KEYS
     counts = running(
-        cut_lineage(counts),
+        counts,
         keys,
         order,
         {"_through": F.col("_n"), "dense_rank": F.lit(1).cast("bigint")},
         group_rows=group_rows,
     ).select(*keys, *order, (F.col("_through") - F.col("_n") + 1).alias("rank"), "dense_rank")
-    ranked = lookup(part.hot, counts, [*keys, *order], "inner")
+    ranked = lookup(part.hot, counts, [*keys, *order], "inner", to_all=few)
     if tie_break:
         ranked = positions(ranked, [*keys, *order], tie_break, "_place", group_rows)
         ranked = ranked.withColumn("row_number", F.col("rank") + F.col("_place") - 1).drop("_place")

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillwork.operators.joins import BROADCAST_ROWS
 from rillwork.operators.ordered import lookup
+from rillwork.session import cut_lineage
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -15,11 +17,20 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def top_values(df: DataFrame, keys: Sequence[str], value: str, k: int, dense: bool) -> DataFrame:
+def top_values(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    k: int,
+    dense: bool,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Rows ranked at most ``k`` by descending value within their keys.
 
     The rank is worked out on each key's distinct values, cut to ``k`` before
     they are shuffled, so neither a hot key nor a hot value gathers its rows.
+    The values that remain are written and counted; unless they are too many,
+    they go to where the rows are, and the rows are not shuffled at all.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     falling = Window.partitionBy(*keys).orderBy(F.col(value).desc())
@@ -29,8 +40,8 @@ def top_values(df: DataFrame, keys: Sequence[str], value: str, k: int, dense: bo
     else:
         higher = F.sum("_n").over(falling.rowsBetween(Window.unboundedPreceding, -1))
         best = best.withColumn("rank", F.coalesce(higher, F.lit(0)) + 1).filter(F.col("rank") <= k)
-    best = best.select(*keys, value, F.col("rank").cast("bigint").alias("rank"))
-    return lookup(df, best, [*keys, value], "inner")
+    best = cut_lineage(best.select(*keys, value, F.col("rank").cast("bigint").alias("rank")))
+    return lookup(df, best, [*keys, value], "inner", to_all=best.count() <= max_rows)
 
 
 def sorted_within(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:

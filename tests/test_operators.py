@@ -221,6 +221,8 @@ def test_top_values_keeps_ties(spark, rows):
     assert rows(ranked.select("id", "rank")) == [(1, 1), (2, 1), (6, 1)]
     dense = ordering.top_values(df, ["k"], "v", 2, dense=True)
     assert rows(dense.select("id", "rank")) == [(1, 1), (2, 1), (3, 2), (6, 1)]
+    shuffled = ordering.top_values(df, ["k"], "v", 2, dense=True, max_rows=2)
+    assert rows(shuffled) == rows(dense)
     last = ordering.top_values(df, ["k"], "v", 5, dense=False)
     assert (5, 5) in rows(last.select("id", "rank"))
 

@@ -10,7 +10,7 @@ from rillwork.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8)
+    session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.session.timeZone", "UTC")
     yield session

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
     GROUP_ROWS,
+    SLICE,
     cut,
     near_plain,
     near_sliced,
@@ -78,16 +79,16 @@ def sessionize(
         rows = running(
             rows, order, {}, {"_run_start": F.when(F.col("_starts") == 1, F.col("_sec"))}
         )
-        # A start inside a run is counted by an extra row just before its event.
+        # A start inside a run is counted by an extra row just before its event.  That
+        # event is the first of its second, as any other would begin a run.
         late = rows.filter(F.col("_sec") - F.col("_run_start") >= cap)
-        needed = [user, ts, tie_break, "_sec", "_run_start", *(["_slice"] if "_slice" in rows.columns else [])]
+        needed = [c for c in (user, "_sec", "_run_start", SLICE) if c in rows.columns]
         marks = _starts_in_runs(late.select(*needed), user, cap)
         marks = marks.withColumns({"_starts": F.lit(1).cast("bigint"), "_event": F.lit(0)})
         both = rows.withColumn("_event", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-        counted = running(both, [*order, "_event"], {"_number": F.col("_starts")}, {})
-        return counted.filter(F.col("_event") == 1).select(
-            *df.columns, F.concat_ws("--", F.col(user).cast("string"), F.col("_number").cast("string")).alias("session_id")
-        )
+        counted = running(both, ["_sec", "_event", *order], {"_number": F.col("_starts")}, {})
+        named = F.concat_ws("--", F.col(user).cast("string"), F.col("_number").cast("string"))
+        return counted.filter(F.col("_event") == 1).select(*df.columns, named.alias("session_id"))
 
     part = split_hot(df, keys, group_rows)
     plain = numbered(

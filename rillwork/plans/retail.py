@@ -16,6 +16,7 @@ from rillwork.functions.times import within_days
 from rillwork.operators.joins import without
 from rillwork.operators.ordering import sorted_within, top_values
 from rillwork.plans.registry import TABLES, Tables, money, query
+from rillwork.sources.tables import sql_over
 
 REVENUE = money("l_extendedprice")
 LINES = "orders JOIN lineitem ON l_orderkey = o_orderkey"
@@ -136,13 +137,13 @@ def pivot_dept_year(t: Tables) -> DataFrame:
     return _department_years(t).groupBy("department").pivot("yr", [int(y) for y in YEARS]).avg("revenue")
 
 
-@query(
-    """SELECT p_name, p_retailprice FROM part
+HIGHEST_PRICED = """SELECT p_name, p_retailprice FROM part
     WHERE p_retailprice = (SELECT max(p_retailprice) FROM part)"""
-)
+
+
+@query(HIGHEST_PRICED)
 def highest_priced_part(t: Tables) -> DataFrame:
-    part = t.part.select("p_name", "p_retailprice")
-    return part.filter(F.col("p_retailprice") == part.agg(F.max("p_retailprice")).scalar())
+    return sql_over(HIGHEST_PRICED, part=t.part)
 
 
 @query(

@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from rillwork.operators.sets import union_distinct
 
 
+def sql_over(text: str, **frames: DataFrame) -> DataFrame:
+    """A SQL query over DataFrames registered as temporary views under their names."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return next(iter(frames.values())).sparkSession.sql(text)
+
+
 def make_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a database; its tables go below ``location``."""
     place = f" LOCATION '{location}'" if location else ""

@@ -43,9 +43,11 @@ def append_topic(
     return writer.option("kafka.bootstrap.servers", servers).option("topic", topic).start()
 
 
-def append_console(df: DataFrame, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def show_on_console(
+    df: DataFrame, checkpoint: str, mode: str = "append", drain: bool = False
+) -> StreamingQuery:
     """Rows of each batch to the console, for looking at."""
-    return _start(df, checkpoint, mode, False).format("console").start()
+    return _start(df, checkpoint, mode, drain).format("console").start()
 
 
 def reencode(messages: DataFrame, schema: str, codec: str) -> DataFrame:

@@ -233,21 +233,24 @@ def ranks(
     if part.hot is None:
         return plain
 
+    one = F.lit(1).cast("bigint")
+    hot = part.hot
+    if tie_break:
+        total_order = [*order, *tie_break]
+        sliced = cut(part, keys, total_order, group_rows)
+        hot = running_sliced(sliced, keys, total_order, {"row_number": one}).drop(SLICE)
+        counted = sliced.groupBy(*keys, *order)
+    else:
+        counted = hot.groupBy(*keys, *order)
     # Read several times below: counted, added up, and looked up per row.
-    counts = cut_lineage(part.hot.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_n")))
+    counts = cut_lineage(counted.agg(F.count(F.lit(1)).alias("_n")))
     few = counts.count() <= BROADCAST_KEYS
     counts = running(
-        counts,
-        keys,
-        order,
-        {"_through": F.col("_n"), "dense_rank": F.lit(1).cast("bigint")},
-        group_rows=group_rows,
-    ).select(*keys, *order, (F.col("_through") - F.col("_n") + 1).alias("rank"), "dense_rank")
-    ranked = lookup(part.hot, counts, [*keys, *order], "inner", to_all=few)
-    if tie_break:
-        ranked = positions(ranked, [*keys, *order], tie_break, "_place", group_rows)
-        ranked = ranked.withColumn("row_number", F.col("rank") + F.col("_place") - 1).drop("_place")
-    return plain.unionByName(ranked)
+        counts, keys, order, {"_through": F.col("_n"), "dense_rank": one}, group_rows=group_rows
+    )
+    rank = (F.col("_through") - F.col("_n") + 1).alias("rank")
+    counts = counts.select(*keys, *order, rank, "dense_rank")
+    return plain.unionByName(lookup(hot, counts, [*keys, *order], "inner", to_all=few))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillwork.functions.text import lines
+from rillwork.operators.sets import union_all
 from rillwork.plans.registry import TABLES, Tables, query
 from rillwork.session import shared_path
 from rillwork.sources import files, tables
@@ -104,12 +105,17 @@ def quoted_csv_table(t: Tables) -> DataFrame:
     return t.spark.table(table)
 
 
-@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name" for name in TABLES))
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in TABLES))
 def list_tables(t: Tables) -> DataFrame:
-    """Names of the tables in a database over the given files."""
+    """Tables in a database over the given files, with their sizes."""
     db = _database(t)
     for name in TABLES:
         schema = getattr(t, name).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         tables.external_parquet(t.spark, f"{db}.{name}", columns, t.path(name))
-    return tables.table_names(t.spark, db).withColumnRenamed("tableName", "table_name")
+    listed = tables.table_names(t.spark, db).withColumnRenamed("tableName", "table_name")
+    sizes = [
+        t.spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(name))
+        for name in TABLES
+    ]
+    return listed.join(union_all(sizes), "table_name")

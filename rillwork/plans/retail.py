@@ -15,6 +15,7 @@ from rillwork.functions.money import as_amount, total
 from rillwork.functions.times import within_days
 from rillwork.operators.joins import without
 from rillwork.operators.ordering import sorted_within, top_values
+from rillwork.operators.sets import union_all
 from rillwork.plans.registry import TABLES, Tables, money, query
 from rillwork.sources.tables import sql_over
 
@@ -59,14 +60,11 @@ def order_count(t: Tables) -> DataFrame:
     " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in TABLES)
 )
 def file_counts(t: Tables) -> DataFrame:
-    one = [
-        getattr(t, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+    sizes = [
+        getattr(t, name).agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(name))
         for name in TABLES
     ]
-    out = one[0]
-    for other in one[1:]:
-        out = out.unionByName(other)
-    return out
+    return union_all(sizes)
 
 
 @query(f"SELECT {REVENUE} / count(DISTINCT l_orderkey) AS revenue_per_order FROM {LINES}")

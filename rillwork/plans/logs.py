@@ -48,7 +48,8 @@ def _balancer_lines(t: Tables) -> DataFrame:
         F.lit("34"),
         F.length("url").cast("string"),
     ]
-    request = F.when(~failed, F.concat_ws(" ", F.lit("GET"), "url", F.lit("HTTP/1.1"), F.lit("agent/1.0 (like a browser)")))
+    agent = F.lit("agent/1.0 (like a browser)")
+    request = F.when(~failed, F.concat_ws(" ", F.lit("GET"), "url", F.lit("HTTP/1.1"), agent))
     return _requests(t).select(F.concat_ws(" ", *head, request).alias("value"))
 
 

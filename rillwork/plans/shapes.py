@@ -158,8 +158,8 @@ def json_decode(t: Tables) -> DataFrame:
 
 
 LINKS_SQL = """(SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages)"""
-ENTRY_ROWS_SQL = f"""SELECT page_id, len(links) AS records_total, CAST(unnest(range(1, len(links) + 1)) AS INTEGER) AS ordinal,
-    unnest(links) AS name FROM {LINKS_SQL}"""
+ENTRY_ROWS_SQL = f"""SELECT page_id, len(links) AS records_total,
+    CAST(unnest(range(1, len(links) + 1)) AS INTEGER) AS ordinal, unnest(links) AS name FROM {LINKS_SQL}"""
 
 
 def _envelopes(t: Tables) -> DataFrame:
@@ -185,7 +185,8 @@ def envelope_select(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, string_split(url, '/')[3] AS host, upper(url) AS upper_url, trim(concat('  ', url, ' ')) AS trimmed,
+    """SELECT page_id, string_split(url, '/')[3] AS host, upper(url) AS upper_url,
+        trim(concat('  ', url, ' ')) AS trimmed,
         concat('Q_', page_id) AS label, regexp_full_match(url, 'https://.*') AS secure,
         array_to_string(list_slice(string_split(url, '.'), 1, 2), '.') AS two_parts,
         string_split(url, '/')[-1] AS last_part FROM pages"""

@@ -192,13 +192,20 @@ def word_count(t: Tables) -> DataFrame:
     return aggregates.word_counts(t.documents, words("text"))
 
 
-PARTITIONS = 32
+PARTITION_CHARS, MIN_PARTITIONS = 1 << 28, 8
 
 
-@query(f"SELECT CAST(doc_id % {PARTITIONS} AS INTEGER) AS part, word, count(*) AS n FROM {WORDS_SQL} GROUP BY 1, 2")
+@query(
+    f"""WITH p AS (SELECT greatest({MIN_PARTITIONS}, sum(n_chars) // {PARTITION_CHARS} + 1) AS partitions FROM documents)
+    SELECT CAST(doc_id % partitions AS INTEGER) AS part, word, count(*) AS n
+    FROM (SELECT * FROM {WORDS_SQL}), p GROUP BY 1, 2"""
+)
 def word_count_by_partition(t: Tables) -> DataFrame:
+    """Words per partition, with as many partitions as the size of the texts asks for."""
     documents = t.documents.select("doc_id", "text")
-    return aggregates.word_counts_by_partition(documents, F.col("doc_id"), PARTITIONS, words("text"))
+    chars = t.documents.agg(F.sum("n_chars")).first()[0] or 0
+    partitions = max(MIN_PARTITIONS, chars // PARTITION_CHARS + 1)
+    return aggregates.word_counts_by_partition(documents, F.col("doc_id"), partitions, words("text"))
 
 
 @query(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.operators.ordered import GROUP_ROWS, positions
+from rillwork.operators.ordered import positions
 
 #: Rows up to which a dimension may be sent to every executor.
 BROADCAST_ROWS = 250_000
@@ -57,7 +57,7 @@ def with_dimension(
 
 
 def value_lists(
-    df: DataFrame, key: str, value: str, name: str, chunk_rows: int, group_rows: int = GROUP_ROWS
+    df: DataFrame, key: str, value: str, name: str, chunk_rows: int, group_rows: int | None = None
 ) -> DataFrame:
     """The sorted values of each key as lists of at most ``chunk_rows`` values.
 
@@ -78,7 +78,7 @@ def cogroup(
     left_value: str,
     right_value: str,
     chunk_rows: int = 10_000,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """All values of both sides per key, empty where a side has none.
 

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from rillwork.session import cut_lineage
 
-#: Rows of one key that a single task may sort.
+#: Rows of one key that a single task may sort, unless the session sets another limit.
 GROUP_ROWS = 5_000_000
+GROUP_ROWS_CONF = "spark.rillwork.groupRows"
 #: Rows of keys or key totals up to which they are sent to every executor; more are joined.
 BROADCAST_KEYS = 100_000
 
@@ -54,10 +55,13 @@ class Split(NamedTuple):
     rest: DataFrame
     hot: DataFrame | None = None
     hot_rows: int = 0
+    n_slices: int = 0
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Split:
+def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> Split:
     """Part the rows of keys with more than ``group_rows`` rows from all others."""
+    if group_rows is None:
+        group_rows = int(df.sparkSession.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS)))
     if df.count() <= group_rows:
         return Split(df)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -71,6 +75,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS)
         lookup(df, hot_keys, keys, "left_anti", to_all=few),
         lookup(df, hot_keys, keys, "left_semi", to_all=few),
         n_rows,
+        ceil(n_rows / group_rows) + 1,
     )
 
 
@@ -82,8 +87,8 @@ def slices(hot: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) ->
     return cut_lineage(placed)
 
 
-def cut(part: Split, keys: Sequence[str], order: Sequence[str], group_rows: int) -> DataFrame:
-    return slices(part.hot, keys, order, ceil(part.hot_rows / group_rows) + 1)
+def cut(part: Split, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return slices(part.hot, keys, order, part.n_slices)
 
 
 def near_plain(df: DataFrame, keys: Sequence[str], order: Sequence[str], compute: Compute) -> DataFrame:
@@ -117,7 +122,7 @@ def near(
     order: Sequence[str],
     reach: int,
     compute: Compute,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add columns that look at most ``reach`` rows back or ahead within a key.
 
@@ -127,7 +132,7 @@ def near(
     plain = near_plain(part.rest, keys, order, compute)
     if part.hot is None:
         return plain
-    sliced = cut(part, keys, order, group_rows)
+    sliced = cut(part, keys, order)
     return plain.unionByName(near_sliced(sliced, keys, order, reach, compute).drop(SLICE))
 
 
@@ -189,19 +194,19 @@ def running(
     order: Sequence[str],
     sums: Mapping[str, Column],
     maxes: Mapping[str, Column] | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add running sums and maxima per key, from its first row to the current one."""
     part = split_hot(df, keys, group_rows)
     plain = running_plain(part.rest, keys, order, sums, maxes)
     if part.hot is None:
         return plain
-    sliced = cut(part, keys, order, group_rows)
+    sliced = cut(part, keys, order)
     return plain.unionByName(running_sliced(sliced, keys, order, sums, maxes).drop(SLICE))
 
 
 def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, group_rows: int | None = None
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given total order."""
     one = F.lit(1).cast("bigint")
@@ -213,7 +218,7 @@ def ranks(
     keys: Sequence[str],
     order: Sequence[str],
     tie_break: Sequence[str] = (),
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``rank`` and ``dense_rank`` by ``order`` and, given a tie break, ``row_number``.
 
@@ -237,7 +242,7 @@ def ranks(
     hot = part.hot
     if tie_break:
         total_order = [*order, *tie_break]
-        sliced = cut(part, keys, total_order, group_rows)
+        sliced = cut(part, keys, total_order)
         hot = running_sliced(sliced, keys, total_order, {"row_number": one}).drop(SLICE)
         counted = sliced.groupBy(*keys, *order)
     else:

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
-    GROUP_ROWS,
     SLICE,
     cut,
     near_plain,
@@ -64,7 +63,7 @@ def sessionize(
     tie_break: str,
     idle: int = 60 * 60,
     cap: int = 2 * 60 * 60,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``session_id``, the user and the session's number from 1."""
     keys, order = [user], [ts, tie_break]
@@ -98,7 +97,7 @@ def sessionize(
     )
     if part.hot is None:
         return plain
-    sliced = cut(part, keys, order, group_rows)
+    sliced = cut(part, keys, order)
     return plain.unionByName(
         numbered(
             sliced,

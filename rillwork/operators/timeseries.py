@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from rillwork.functions.money import as_amount, cents
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
-    GROUP_ROWS,
     cut,
     near,
     near_sliced,
@@ -30,7 +29,7 @@ def moving_average(
     order: Sequence[str],
     value: str,
     size: int,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Mean of each row and the ``size - 1`` before it, rounded to 2 places, sorted.
 
@@ -50,7 +49,7 @@ def moving_average(
     ranged = part.rest.repartitionByRange(key)
     out = compute(ranged, Window.partitionBy(key).orderBy(*order))
     if part.hot is not None:
-        sliced = cut(part, [key], order, group_rows)
+        sliced = cut(part, [key], order)
         out = out.unionByName(near_sliced(sliced, [key], order, max(size - 1, 1), compute).drop("_slice"))
     return out.filter(F.col("moving_average").isNotNull()).orderBy(key, *order)
 
@@ -64,7 +63,7 @@ def moving_average_with(
 
 
 def centred_average(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int | None = None
 ) -> DataFrame:
     """Exact sum, count and mean of each row with its two neighbours."""
 
@@ -85,7 +84,7 @@ def lag_lead(
     order: Sequence[str],
     value: str,
     offset: int,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """The value ``offset`` rows earlier and later within the key."""
 
@@ -101,7 +100,7 @@ def lag_lead(
 
 
 def cumulative_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int | None = None
 ) -> DataFrame:
     """Exact running sum within the key."""
     summed = running(df, keys, order, {"cumulative_sum": cents(value)}, group_rows=group_rows)
@@ -109,7 +108,7 @@ def cumulative_sum(
 
 
 def event_gaps(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], group_rows: int | None = None
 ) -> DataFrame:
     """Whole seconds since the key's previous event, null for its first; time is ``order[0]``."""
 
@@ -121,7 +120,7 @@ def event_gaps(
 
 
 def dwell(
-    df: DataFrame, user: str, order: Sequence[str], group_rows: int = GROUP_ROWS
+    df: DataFrame, user: str, order: Sequence[str], group_rows: int | None = None
 ) -> DataFrame:
     """Whole seconds until the user's next event of the same day, 0 for the day's last."""
 

@@ -63,5 +63,5 @@ def load_csv(spark: SparkSession, path: str, table: str, quote: str = "'") -> No
 
 
 def table_names(spark: SparkSession, database: str) -> DataFrame:
-    """Name of every table in a database."""
-    return spark.sql(f"SHOW TABLES IN {database}").select("tableName")
+    """Name of every table in a database; temporary views belong to none."""
+    return spark.sql(f"SHOW TABLES IN {database}").filter("NOT isTemporary").select("tableName")

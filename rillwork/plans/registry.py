@@ -14,7 +14,7 @@ TABLES = (
 
 
 class Tables:
-    """The tables of one folder as attributes, read when used."""
+    """The tables of one folder as attributes, looked up once, when first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         # Days and seconds of the tables' zone-less times must not depend on the machine.
@@ -28,7 +28,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        frame = self.spark.read.parquet(self.path(name))
+        setattr(self, name, frame)
+        return frame
 
 
 class Query(NamedTuple):

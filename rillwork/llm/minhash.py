@@ -10,10 +10,12 @@ with a probability of 5e-8.
 
 Texts with equal shingle sets are one class.  In every band value the smallest id
 is the hub; each other member is compared with it.  Where members of one band
-value still lie in different components afterwards, those pairs are compared too,
-so copies never meet in all pairs, yet no candidate link between components is
-left out.  A pair is verified on the full sets if the sizes allow a link and the
-collision-corrected estimate is not far below the limit.
+value still lie in different components afterwards, those are compared too, so
+copies never meet in all pairs, yet no candidate link between components is left
+out: texts that meet a large component are compared with its members in blocks, on
+the full sets at once; the others in pairs.  A pair is verified on the full sets if
+the sizes allow a link and the collision-corrected estimate is not far below the
+limit.
 """
 
 from __future__ import annotations
@@ -39,8 +41,11 @@ REST = 57
 #: Share of equal shingles, in hundredths, and words of a shingle.
 LEAST = 80
 SHINGLE = 2
-#: Estimates further below the limit than this are not verified; at the limit their spread is 0.035.
-MARGIN = 0.30
+#: Estimates further below the limit than this are not verified; it is five times their spread there.
+MARGIN = 0.18
+#: Members of a component that is compared in blocks, and texts of a block.
+LARGE = 64
+BLOCK = 128
 
 
 def shingle_set(text: bytes | None, size: int) -> frozenset:
@@ -197,7 +202,7 @@ def near_texts(
         "classes",
     )
     keyed = classes.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", F.xxhash64("band", "value").alias("key")
+        "id", "band", F.xxhash64("band", "value").alias("key")
     )
     hubs = (
         keyed.groupBy("key")
@@ -207,7 +212,7 @@ def near_texts(
     )
     hubs = saved(hubs, "hubs")
     members = saved(
-        keyed.join(hubs, F.col("key") == F.col("k")).select("key", "hub", "id"), "members"
+        keyed.join(hubs, F.col("key") == F.col("k")).select("key", "band", "hub", "id"), "members"
     )
     stars = saved(
         members.filter(F.col("hub") != F.col("id"))
@@ -219,7 +224,10 @@ def near_texts(
     texts = saved(rows.join(ids, F.col("id") == F.col("i"), "left_semi"), "texts")
     slim = saved(classes.join(ids, F.col("id") == F.col("i"), "left_semi").drop("_digest"), "slim")
     first = saved(verify(likely(stars, slim, least), texts, size, least), "linked")
-    second = verify(likely(across(members, components(first), stars), slim, least), texts, size, least)
+    open_ = still_open(members, components(first), slim)
+    second = in_blocks(open_, texts, size, least).unionAll(
+        verify(in_pairs(open_, least), texts, size, least)
+    )
     parts = components(first.unionAll(second))
     known = saved(
         classes.join(parts.withColumnRenamed("id", "p"), F.col("id") == F.col("p"), "left").select(
@@ -239,39 +247,124 @@ def near_texts(
     )
 
 
-def across(members: DataFrame, parts: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs that share a band value, lie in different components and were not tried.
-
-    Of each band value, all members outside its largest component meet all others
-    of other components; inside a component nothing needs comparing.
-    """
+def still_open(members: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the band values that hold several components, with component, its size, and sketch."""
+    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sized = saved(parts.join(sizes, "component"), "sized").withColumnRenamed("id", "p")
     placed = saved(
-        members.join(parts.withColumnRenamed("id", "p"), F.col("id") == F.col("p"), "left").select(
-            "key", "id", F.coalesce("component", "id").alias("part")
+        members.join(sized, F.col("id") == F.col("p"), "left").select(
+            "key", "band", "id", F.coalesce("component", "id").alias("part"), F.coalesce("size", F.lit(1)).alias("size")
         ),
         "placed",
     )
-    counted = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     split = saved(
-        counted.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "part")).alias("most"))
-        .filter("parts > 1")
-        .select(F.col("key").alias("k"), F.col("most.part").alias("largest")),
+        placed.groupBy("key")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        .filter("low < high")
+        .select(F.col("key").alias("k")),
         "split",
     )
-    open_ = saved(
-        placed.join(split, F.col("key") == F.col("k")).select("key", "id", "part", "largest"), "open"
+    sketch_of = classes.select(F.col("id").alias("i"), "n", "bands")
+    kept = placed.join(split, F.col("key") == F.col("k")).drop("k")
+    return saved(kept.join(sketch_of, F.col("id") == F.col("i")).drop("i"), "open")
+
+
+def in_pairs(open_: DataFrame, least: int) -> DataFrame:
+    """Likely pairs of one band value that lie in different components, none of them large.
+
+    A pair is given out in the first band that it agrees in.
+    """
+    small = open_.filter(F.col("size") < LARGE)
+    left = small.select("key", "band", *[F.col(c).alias(f"{c}_a") for c in ("id", "part", "n", "bands")])
+    right = small.select(F.col("key").alias("k"), *[F.col(c).alias(f"{c}_b") for c in ("id", "part", "n", "bands")])
+    same = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
+    found = (
+        (F.col("key") == F.col("k"))
+        & (F.col("id_a") < F.col("id_b"))
+        & (F.col("part_a") != F.col("part_b"))
+        & (100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
+        & (F.array_position(same, True) == F.col("band") + 1)
+        & (estimate("bands_a", "bands_b", "n_a", "n_b") >= least / 100 - MARGIN)
     )
-    outside = open_.filter(F.col("part") != F.col("largest")).select(
-        F.col("key").alias("k"), F.col("id").alias("x"), F.col("part").alias("px")
+    return saved(left.join(right, found).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "pairs")
+
+
+def in_blocks(open_: DataFrame, texts: DataFrame, size: int, least: int) -> DataFrame:
+    """Links (a, b) between texts and large components that share a band value with them.
+
+    Of two components the smaller one's texts are compared with all open members of
+    the larger one; one link per text and block is enough for the components.
+    """
+    large = open_.filter(F.col("size") >= LARGE)
+    met = saved(
+        large.select(F.col("key").alias("k"), F.col("part").alias("whole"), F.col("size").alias("s")).distinct(), "met"
     )
-    pairs = (
-        outside.join(open_, F.col("k") == F.col("key"))
-        .filter((F.col("px") != F.col("part")) & ((F.col("part") == F.col("largest")) | (F.col("x") < F.col("id"))))
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
+    smaller = (F.col("size") < F.col("s")) | ((F.col("size") == F.col("s")) & (F.col("part") < F.col("whole")))
+    guests = (
+        open_.join(met, (F.col("key") == F.col("k")) & (F.col("part") != F.col("whole")) & smaller)
+        .select("whole", "id", F.lit(1).alias("guest"))
         .distinct()
     )
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    own = large.select(F.col("part").alias("whole"), "id", F.lit(0).alias("guest")).distinct()
+    both = saved(guests.unionAll(own), "sides")
+    counts = saved(
+        both.groupBy("whole").agg(
+            F.ceil(F.sum("guest") / BLOCK).cast("int").alias("guests"),
+            F.ceil(F.sum(1 - F.col("guest")) / BLOCK).cast("int").alias("owns"),
+        ).filter("guests > 0"),
+        "counts",
+    )
+    hashed = F.xxhash64(F.lit(5), "id")
+    place = F.pmod(hashed, F.when(F.col("guest") == 1, F.col("guests")).otherwise(F.col("owns"))).cast("int")
+    other = F.sequence(F.lit(0), F.when(F.col("guest") == 1, F.col("owns")).otherwise(F.col("guests")) - 1)
+    dealt = both.join(counts, "whole").select(
+        "whole", "guest", "id", place.alias("place"), F.explode(other).alias("other")
+    )
+    tasks = dealt.select(
+        "whole", "guest", "id",
+        F.when(F.col("guest") == 1, F.col("place")).otherwise(F.col("other")).alias("i"),
+        F.when(F.col("guest") == 1, F.col("other")).otherwise(F.col("place")).alias("j"),
+    )
+    named = texts.select(F.col("id").alias("t"), F.col("text").cast("binary").alias("text"))
+    full = tasks.join(named, F.col("id") == F.col("t")).drop("t")
+
+    def run(table: pa.Table) -> pa.Table:
+        links = block_links(
+            *[
+                [(i, shingle_set(t, size)) for g, i, t in zip(*[table[c].to_pylist() for c in ("guest", "id", "text")]) if g == side]
+                for side in (1, 0)
+            ],
+            least,
+        )
+        return pa.table(
+            {"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())}
+        )
+
+    return saved(full.groupBy("whole", "i", "j").applyInArrow(run, "a bigint, b bigint"), "block-links")
+
+
+def block_links(guests: list, owns: list, least: int) -> list[tuple[int, int]]:
+    """For every guest the first member whose set is at least ``least`` hundredths alike, if any."""
+    number: dict = {}
+    for _, shingles in guests:
+        for g in shingles:
+            number.setdefault(g, len(number))
+    inside = np.zeros((len(number), len(guests)), dtype=np.uint8)
+    for i, (_, shingles) in enumerate(guests):
+        inside[[number[g] for g in shingles], i] = 1
+    sizes = np.array([len(s) for _, s in guests])
+    open_ = np.ones(len(guests), dtype=bool)
+    out = []
+    for id, shingles in owns:
+        rows = [number[g] for g in shingles if g in number]
+        if not rows:
+            continue
+        shared = inside[rows].sum(axis=0, dtype=np.int64)
+        linked = open_ & (shared > 0) & (100 * shared >= least * (sizes + len(shingles) - shared))
+        for i in np.flatnonzero(linked):
+            out.append((guests[i][0], id))
+        open_ &= ~linked
+    return out
 
 
 def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, least: int = LEAST) -> DataFrame:

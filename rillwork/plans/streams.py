@@ -15,9 +15,10 @@ RECORD_SQL = "SELECT event_id, user_id, event_type, value FROM events"
 
 
 def _event_stream(t: Tables) -> DataFrame:
-    return jobs.stream_files(
-        t.spark, t.folder, t.events.schema, "parquet", pathGlobFilter="events.parquet"
-    )
+    # A pattern that only the table's own name fits: a source path may be a folder of
+    # parts or, as a pattern, a single file.
+    path = t.path("events")
+    return jobs.stream_files(t.spark, f"{path[:-1]}[{path[-1]}]", t.events.schema, "parquet")
 
 
 def _message_stream(t: Tables) -> DataFrame:

@@ -93,22 +93,26 @@ def upsert_each_batch(
     def write(changed: DataFrame, batch: int) -> None:
         # Read twice below; without this the batch and its state would run twice.
         changed = changed.persist()
-        merged = changed
-        if batch > 0:
-            before = changed.sparkSession.read.parquet(_versioned(path, batch - 1))
-            kept = before.join(changed.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(changed)
-        merged.write.mode("overwrite").parquet(_versioned(path, batch))
-        changed.unpersist()
+        try:
+            merged = changed
+            if batch > 0:
+                before = changed.sparkSession.read.parquet(_versioned(path, batch - 1))
+                kept = before.join(changed.select(*keys), list(keys), "left_anti")
+                merged = kept.unionByName(changed)
+            merged.write.mode("overwrite").parquet(_versioned(path, batch))
+        finally:
+            changed.unpersist()
 
     return _start(df, checkpoint, "update", drain).foreachBatch(write).start()
 
 
 def last_version(spark: SparkSession, path: str) -> DataFrame:
-    """What a versioned sink wrote in its last batch."""
-    versions = spark.read.parquet(path)
-    last = versions.agg(F.max("batch")).scalar()
-    return versions.filter(F.col("batch") == last).drop("batch")
+    """What a versioned sink wrote in its last batch, found by its folder; it may be empty."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath().getName() for s in system.listStatus(root)]
+    whole = [f for f in folders if f.startswith("batch=") and system.exists(root.suffix(f"/{f}/_SUCCESS"))]
+    return spark.read.parquet(f"{path}/{max(whole)}")
 
 
 def finish(query: StreamingQuery, timeout: int = 600) -> StreamingQuery:

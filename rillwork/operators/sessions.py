@@ -16,8 +16,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillwork.functions.times import seconds
@@ -35,25 +35,28 @@ from rillwork.operators.ordered import (
 def _starts_in_runs(late: DataFrame, user: str, cap: int) -> DataFrame:
     """Of the events ``cap`` seconds or more into their run, those that start a session."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, start = None, 0
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = 0
         for batch in batches:
-            at = batch["_sec"].to_numpy()
-            runs = list(zip(batch[user], batch["_run_start"]))
-            bounds = [i for i in range(len(runs)) if i == 0 or runs[i] != runs[i - 1]] + [len(runs)]
+            at, run_start, place = (np.asarray(batch.column(c)) for c in ("_sec", "_run_start", "_place"))
+            begins = np.flatnonzero(place == 1)
+            bounds = [*([0] if not len(begins) or begins[0] else []), *begins.tolist(), batch.num_rows]
             chosen = []
             for first, last in zip(bounds, bounds[1:]):
-                if runs[first] != run:
-                    run, start = runs[first], runs[first][1]
+                if place[first] == 1:
+                    start = run_start[first]
                 here = first + int(np.searchsorted(at[first:last], start + cap))
                 while here < last:
                     chosen.append(here)
                     start = at[here]
                     here += int(np.searchsorted(at[here:last], start + cap))
-            yield batch.iloc[chosen]
+            yield batch.take(pa.array(chosen, pa.int64()))
 
-    ordered = late.repartition(user, "_run_start").sortWithinPartitions(user, "_run_start", "_sec")
-    return ordered.mapInPandas(walk, late.schema)
+    # The window sorts each run's rows together and numbers them, so the walk sees
+    # where runs begin without looking at a user's id.
+    in_run = Window.partitionBy(user, "_run_start").orderBy("_sec")
+    numbered = late.withColumn("_place", F.row_number().over(in_run).cast("bigint"))
+    return numbered.mapInArrow(walk, numbered.schema).drop("_place")
 
 
 def sessionize(
@@ -65,7 +68,10 @@ def sessionize(
     cap: int = 2 * 60 * 60,
     group_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``session_id``, the user and the session's number from 1."""
+    """Add ``session_id``, the user and the session's number from 1.
+
+    Ids may be of any type; a null user is a user whose sessions have numbers alone.
+    """
     keys, order = [user], [ts, tie_break]
 
     def gaps(rows, window):
@@ -86,7 +92,8 @@ def sessionize(
         marks = marks.withColumns({"_starts": F.lit(1).cast("bigint"), "_event": F.lit(0)})
         both = rows.withColumn("_event", F.lit(1)).unionByName(marks, allowMissingColumns=True)
         counted = running(both, ["_sec", "_event", *order], {"_number": F.col("_starts")}, {})
-        named = F.concat_ws("--", F.col(user).cast("string"), F.col("_number").cast("string"))
+        shown = F.coalesce(F.col(user).cast("string"), F.lit(""))
+        named = F.concat(shown, F.lit("--"), F.col("_number").cast("string"))
         return counted.filter(F.col("_event") == 1).select(*df.columns, named.alias("session_id"))
 
     part = split_hot(df, keys, group_rows)

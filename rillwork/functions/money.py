@@ -1,9 +1,11 @@
-"""Exact sums of amounts held as doubles with at most two decimals.
-
-Amounts are added up as whole cents: the sum does not depend on row order, and
-whole numbers add several times faster than decimals made from doubles.  A sum
-beyond 9.2e16 units of currency raises an overflow error under Spark's default
-ANSI mode.
+"""Exact sums of amounts held as doubles with a known number of decimals.
+
+Such amounts are added up as whole units (cents for two decimals): the sum does
+not depend on row order, and whole numbers add several times faster than decimals
+made from doubles.  The caller says how many decimals a column has; a value with
+more raises an error instead of being rounded.  Without a number of decimals a
+sum is a plain sum of doubles.  A sum beyond 9.2e18 units raises an overflow error
+under Spark's default ANSI mode.
 """
 
 from __future__ import annotations
@@ -16,18 +18,33 @@ def _column(amount: str | Column) -> Column:
     return F.col(amount) if isinstance(amount, str) else amount
 
 
+def units(amount: str | Column, places: int | None = 2) -> Column:
+    """The amount in whole units of its last decimal; without ``places`` as it is."""
+    value = _column(amount)
+    if places is None:
+        return value.cast("double")
+    scaled = value * 10**places
+    whole = F.rint(scaled)
+    # A double next to a decimal is off by a few parts in 2^53 of its size.
+    fits = F.abs(scaled - whole) <= F.greatest(F.lit(1.0), F.abs(scaled)) * 1e-9
+    error = F.raise_error(F.concat(F.lit(f"more than {places} decimals: "), value.cast("string")))
+    return F.when(value.isNull() | fits, whole.cast("bigint")).otherwise(error.cast("bigint"))
+
+
 def cents(amount: str | Column) -> Column:
-    return F.rint(_column(amount) * 100).cast("bigint")
+    return units(amount, 2)
 
 
-def total(amount: str | Column) -> Column:
-    """Exact sum in cents, which can be summed again."""
-    return F.sum(cents(amount))
+def total(amount: str | Column, places: int | None = 2) -> Column:
+    """Sum in whole units, which can be summed again; exact where ``places`` is given."""
+    return F.sum(units(amount, places))
 
 
-def as_amount(in_cents: str | Column) -> Column:
-    """Cents as a double: the one nearest to the exact amount."""
-    return (_column(in_cents).cast("decimal(20,0)") / 100).cast("double")
+def as_amount(summed: str | Column, places: int | None = 2) -> Column:
+    """Whole units as a double: the one nearest to the exact amount."""
+    if places is None:
+        return _column(summed).cast("double")
+    return (_column(summed).cast("decimal(20,0)") / 10**places).cast("double")
 
 
 def discounted(price: str | Column, percent: float) -> Column:

@@ -10,21 +10,27 @@ from pyspark.sql import functions as F
 from rillwork.functions.money import as_amount, total
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], amount: str, name: str = "mean") -> DataFrame:
-    """Mean amount per key from an exact sum and a count."""
-    return df.groupBy(*keys).agg((as_amount(total(amount)) / F.count(amount)).alias(name))
+def mean_by(
+    df: DataFrame, keys: Sequence[str], amount: str, name: str = "mean", places: int | None = None
+) -> DataFrame:
+    """Mean per key; from an exact sum where the values have ``places`` decimals at most."""
+    mean = as_amount(total(amount, places), places) / F.count(amount)
+    return df.groupBy(*keys).agg(mean.alias(name))
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], amount: str, name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(as_amount(total(amount)).alias(name))
+def sum_by(
+    df: DataFrame, keys: Sequence[str], amount: str, name: str = "total", places: int | None = None
+) -> DataFrame:
+    """Sum per key; exact where the values have ``places`` decimals at most."""
+    return df.groupBy(*keys).agg(as_amount(total(amount, places), places).alias(name))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def sum_and_count(df: DataFrame, amount: str) -> DataFrame:
-    return df.agg(as_amount(total(amount)).alias("total"), F.count(amount).alias("n"))
+def sum_and_count(df: DataFrame, amount: str, places: int | None = None) -> DataFrame:
+    return df.agg(as_amount(total(amount, places), places).alias("total"), F.count(amount).alias("n"))
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -64,9 +70,9 @@ def share_of_total(df: DataFrame, keys: Sequence[str], counted: str) -> DataFram
     return counts.withColumn("percentage", share)
 
 
-def fill_with_mean(df: DataFrame, amount: str) -> DataFrame:
+def fill_with_mean(df: DataFrame, amount: str, places: int | None = None) -> DataFrame:
     """Null amounts replaced by the mean of the others."""
-    mean = df.agg((as_amount(total(amount)) / F.count(amount)).alias("mean")).scalar()
+    mean = df.agg((as_amount(total(amount, places), places) / F.count(amount)).alias("mean")).scalar()
     return df.withColumn(amount, F.coalesce(F.col(amount), mean))
 
 
@@ -83,10 +89,11 @@ def word_counts(df: DataFrame, words: Column) -> DataFrame:
 
 
 def word_counts_by_partition(df: DataFrame, spread: Column, partitions: int, words: Column) -> DataFrame:
-    """Words counted inside each of ``partitions`` partitions, with the partition's index.
+    """Words counted inside each of ``partitions`` parts of the rows, with the part's index.
 
-    ``spread`` is a whole number; rows go to the partition of its remainder.
+    ``spread`` is a whole number; its remainder is the row's part.  The part is a
+    column, so texts stay where they are and only counts are shuffled.
     """
-    placed = df.repartitionById(partitions, F.pmod(spread, F.lit(partitions)).cast("int"))
-    tagged = placed.select(F.spark_partition_id().alias("part"), F.explode(words).alias("word"))
+    part = F.pmod(spread, F.lit(partitions)).cast("int")
+    tagged = df.select(part.alias("part"), F.explode(words).alias("word"))
     return tagged.groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))

@@ -11,16 +11,21 @@ from rillwork.functions.money import as_amount, total
 
 
 def pivot_total(
-    df: DataFrame, row: str, column: str, amount: str, values: Sequence[str] | None = None
+    df: DataFrame,
+    row: str,
+    column: str,
+    amount: str,
+    values: Sequence[str] | None = None,
+    places: int | None = None,
 ) -> DataFrame:
-    """One column per value with its exact total; values not listed are looked up first.
+    """One column per value with its total; values not listed are looked up first.
 
     The amounts are added up per row and value before they are turned.
     """
-    sums = df.groupBy(row, column).agg(total(amount).alias("_sum"))
+    sums = df.groupBy(row, column).agg(total(amount, places).alias("_sum"))
     turned = sums.groupBy(row).pivot(column, list(values) if values is not None else None)
     out = turned.agg(F.sum("_sum"))
-    return out.select(row, *[as_amount(F.col(f"`{c}`")).alias(c) for c in out.columns if c != row])
+    return out.select(row, *[as_amount(F.col(f"`{c}`"), places).alias(c) for c in out.columns if c != row])
 
 
 def unpivot(

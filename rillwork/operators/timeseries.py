@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_amount, cents
+from rillwork.functions.money import as_amount, units
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
     cut,
@@ -63,13 +63,18 @@ def moving_average_with(
 
 
 def centred_average(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    group_rows: int | None = None,
+    places: int | None = None,
 ) -> DataFrame:
-    """Exact sum, count and mean of each row with its two neighbours."""
+    """Sum, count and mean of each row with its two neighbours; exact where ``places`` is given."""
 
     def compute(rows, window):
         frame = window.rowsBetween(-1, 1)
-        total = as_amount(F.sum(cents(value)).over(frame))
+        total = as_amount(F.sum(units(value, places)).over(frame), places)
         count = F.count(value).over(frame)
         return rows.withColumns(
             {"frame_total": total, "frame_rows": count, "centred_average": F.try_divide(total, count)}
@@ -100,11 +105,16 @@ def lag_lead(
 
 
 def cumulative_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, group_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    group_rows: int | None = None,
+    places: int | None = None,
 ) -> DataFrame:
-    """Exact running sum within the key."""
-    summed = running(df, keys, order, {"cumulative_sum": cents(value)}, group_rows=group_rows)
-    return summed.withColumn("cumulative_sum", as_amount("cumulative_sum"))
+    """Running sum within the key; exact where the values have ``places`` decimals at most."""
+    summed = running(df, keys, order, {"cumulative_sum": units(value, places)}, group_rows=group_rows)
+    return summed.withColumn("cumulative_sum", as_amount("cumulative_sum", places))
 
 
 def event_gaps(

@@ -22,16 +22,19 @@ def payment_join(t: Tables) -> DataFrame:
     return joins.inner(orders, t.customer.select("c_custkey", "c_name"), "c_custkey")
 
 
-PAIRS_SQL = """SELECT coalesce(o.k, c.k) AS k, o_orderkey, c_name
-    FROM (SELECT o_custkey AS k, o_orderkey FROM orders WHERE o_orderstatus = 'P') o {} JOIN
-    (SELECT c_custkey AS k, c_name FROM customer WHERE c_acctbal > 0) c ON o.k = c.k"""
+PAIRS_SQL = """SELECT coalesce(o.k, u.k) AS k, o_orderkey, n_events
+    FROM (SELECT o_custkey AS k, o_orderkey FROM orders) o {} JOIN
+    (SELECT user_id * 11 AS k, count(*) AS n_events FROM events GROUP BY 1) u ON o.k = u.k"""
+
+#: Users have the first numbers only; spread out, each side has keys that the other lacks.
+SPREAD = 11
 
 
 def _pairs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Pending orders and customers in credit: each side has keys the other lacks."""
-    pending = t.orders.filter(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("k"), "o_orderkey")
-    credit = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("k"), "c_name")
-    return pending, credit
+    """Orders of every customer and number of events of every user."""
+    orders = t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey")
+    users = t.events.groupBy((F.col("user_id") * SPREAD).alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
+    return orders, users
 
 
 @query(PAIRS_SQL.format("INNER"))
@@ -69,14 +72,13 @@ def _lists_sql(key: str, value: str, name: str, source: str) -> str:
 
 @query(
     f"""SELECT k, chunk, coalesce(left_values, '') AS left_values, coalesce(right_values, '') AS right_values
-    FROM ({_lists_sql("o_custkey", "o_orderkey", "left_values", "orders WHERE o_orderpriority = '1-URGENT'")})
+    FROM ({_lists_sql("o_custkey", "o_orderkey", "left_values", "orders")})
     FULL JOIN ({_lists_sql("user_id", "event_id", "right_values", "events")}) USING (k, chunk)"""
 )
 def cogroup(t: Tables) -> DataFrame:
-    """Urgent orders and events of each customer."""
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    """Orders and events of each customer."""
     grouped = joins.cogroup(
-        urgent.select(F.col("o_custkey").alias("k"), "o_orderkey"),
+        t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey"),
         t.events.select(F.col("user_id").alias("k"), "event_id"),
         "k",
         "o_orderkey",
@@ -105,7 +107,7 @@ def broadcast_lookup(t: Tables) -> DataFrame:
 
 @query(f"SELECT event_type, {money('value')} / count(value) AS mean FROM events GROUP BY 1")
 def avg_by_key(t: Tables) -> DataFrame:
-    return aggregates.mean_by(t.events, ["event_type"], "value")
+    return aggregates.mean_by(t.events, ["event_type"], "value", places=2)
 
 
 @query("SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2")
@@ -128,7 +130,7 @@ def lookup_key(t: Tables) -> DataFrame:
 
 @query(f"SELECT {money('l_quantity')} AS total FROM lineitem")
 def reduce_sum(t: Tables) -> DataFrame:
-    return aggregates.sum_by(t.lineitem, [], "l_quantity")
+    return aggregates.sum_by(t.lineitem, [], "l_quantity", places=2)
 
 
 HIGHEST_SQL = """CASE WHEN max(c_acctbal) > 0 THEN arg_max(c_name, (c_acctbal, c_name)) ELSE 'dummy' END AS c_name,
@@ -147,12 +149,12 @@ def fold_max_by_key(t: Tables) -> DataFrame:
 
 @query(f"SELECT {money('c_acctbal')} AS total, count(c_acctbal) AS n FROM customer")
 def aggregate_sum_count(t: Tables) -> DataFrame:
-    return aggregates.sum_and_count(t.customer, "c_acctbal")
+    return aggregates.sum_and_count(t.customer, "c_acctbal", places=2)
 
 
 @query(f"SELECT c_mktsegment, {money('c_acctbal')} AS total FROM customer GROUP BY 1")
 def aggregate_by_key(t: Tables) -> DataFrame:
-    return aggregates.sum_by(t.customer, ["c_mktsegment"], "c_acctbal")
+    return aggregates.sum_by(t.customer, ["c_mktsegment"], "c_acctbal", places=2)
 
 
 @query(_lists_sql("s_nationkey", "s_suppkey", '"values"', "supplier"))
@@ -172,7 +174,7 @@ def group_even_odd(t: Tables) -> DataFrame:
 
 @query(f"SELECT l_returnflag, {money('l_quantity')} AS total FROM lineitem GROUP BY 1")
 def sum_by_key(t: Tables) -> DataFrame:
-    return aggregates.sum_by(t.lineitem, ["l_returnflag"], "l_quantity")
+    return aggregates.sum_by(t.lineitem, ["l_returnflag"], "l_quantity", places=2)
 
 
 @query(
@@ -181,7 +183,7 @@ def sum_by_key(t: Tables) -> DataFrame:
 )
 def sum_two_keys(t: Tables) -> DataFrame:
     keys = ["l_returnflag", "l_linestatus"]
-    return aggregates.sum_by(t.lineitem, keys, "l_extendedprice").orderBy(*keys)
+    return aggregates.sum_by(t.lineitem, keys, "l_extendedprice", places=2).orderBy(*keys)
 
 
 WORDS_SQL = "(SELECT doc_id, unnest(regexp_split_to_array(text, '[ \n]')) AS word FROM documents) WHERE word <> ''"
@@ -192,20 +194,14 @@ def word_count(t: Tables) -> DataFrame:
     return aggregates.word_counts(t.documents, words("text"))
 
 
-PARTITION_CHARS, MIN_PARTITIONS = 1 << 28, 8
+PARTS = 64
 
 
-@query(
-    f"""WITH p AS (SELECT greatest({MIN_PARTITIONS}, sum(n_chars) // {PARTITION_CHARS} + 1) AS partitions FROM documents)
-    SELECT CAST(doc_id % partitions AS INTEGER) AS part, word, count(*) AS n
-    FROM (SELECT * FROM {WORDS_SQL}), p GROUP BY 1, 2"""
-)
+@query(f"SELECT CAST(doc_id % {PARTS} AS INTEGER) AS part, word, count(*) AS n FROM {WORDS_SQL} GROUP BY 1, 2")
 def word_count_by_partition(t: Tables) -> DataFrame:
-    """Words per partition, with as many partitions as the size of the texts asks for."""
+    """Words per part of the documents."""
     documents = t.documents.select("doc_id", "text")
-    chars = t.documents.agg(F.sum("n_chars")).first()[0] or 0
-    partitions = max(MIN_PARTITIONS, chars // PARTITION_CHARS + 1)
-    return aggregates.word_counts_by_partition(documents, F.col("doc_id"), partitions, words("text"))
+    return aggregates.word_counts_by_partition(documents, F.col("doc_id"), PARTS, words("text"))
 
 
 @query(
@@ -239,13 +235,16 @@ def discount_amount(t: Tables) -> DataFrame:
 # --- sets --------------------------------------------------------------------
 
 
-def _buyers(t: Tables, status: str) -> DataFrame:
-    orders = t.orders.filter(F.col("o_orderstatus") == status)
-    return orders.select(F.col("o_custkey").alias("custkey"))
+def _buyers(t: Tables) -> DataFrame:
+    return t.orders.select(F.col("o_custkey").alias("custkey"))
+
+
+def _users(t: Tables) -> DataFrame:
+    return t.events.select((F.col("user_id") * SPREAD).alias("custkey"))
 
 
-P_BUYERS = "SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'P'"
-F_BUYERS = "SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F'"
+BUYERS = "SELECT o_custkey AS custkey FROM orders"
+USERS = f"SELECT user_id * {SPREAD} AS custkey FROM events"
 
 
 @query("SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")
@@ -253,19 +252,19 @@ def distinct_values(t: Tables) -> DataFrame:
     return t.orders.select("o_orderpriority", "o_orderstatus").distinct()
 
 
-@query(f"{P_BUYERS} UNION ALL {F_BUYERS}")
+@query(f"{BUYERS} UNION ALL {USERS}")
 def union_all(t: Tables) -> DataFrame:
-    return sets.union_all([_buyers(t, "P"), _buyers(t, "F")])
+    return sets.union_all([_buyers(t), _users(t)])
 
 
-@query(f"{P_BUYERS} INTERSECT {F_BUYERS}")
+@query(f"{BUYERS} INTERSECT {USERS}")
 def intersect_values(t: Tables) -> DataFrame:
-    return sets.common(_buyers(t, "P"), _buyers(t, "F"))
+    return sets.common(_buyers(t), _users(t))
 
 
-@query(f"SELECT custkey FROM ({P_BUYERS}) WHERE custkey NOT IN ({F_BUYERS})")
+@query(f"SELECT custkey FROM ({BUYERS}) WHERE custkey NOT IN ({USERS})")
 def subtract_keep_duplicates(t: Tables) -> DataFrame:
-    return sets.minus_all_copies(_buyers(t, "P"), _buyers(t, "F"))
+    return sets.minus_all_copies(_buyers(t), _users(t))
 
 
 # --- top-k and samples --------------------------------------------------------

@@ -26,34 +26,35 @@ def _pivot_sql(*statuses: str) -> str:
 
 @query(_pivot_sql("F", "O", "P"))
 def pivot_sum(t: Tables) -> DataFrame:
-    return reshape.pivot_total(_priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice")
+    return reshape.pivot_total(_priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice", places=2)
 
 
 @query(_pivot_sql("P", "Z"))
 def pivot_selected(t: Tables) -> DataFrame:
     """Only the statuses asked for, one of which no order has."""
-    return reshape.pivot_total(_priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice", ["P", "Z"])
+    return reshape.pivot_total(_priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice", ["P", "Z"], places=2)
 
 
 @query(
     f"""SELECT o_orderpriority, 'pending' AS status, {money("o_totalprice")} AS total FROM orders
     WHERE o_orderstatus = 'P' GROUP BY 1
     UNION ALL SELECT o_orderpriority, o_orderstatus, {money("o_totalprice")} FROM orders
-    WHERE o_orderstatus = 'F' GROUP BY 1, 2"""
+    WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2"""
 )
 def unpivot_stack(t: Tables) -> DataFrame:
     turned = reshape.pivot_total(
-        _priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "P", "Z"]
+        _priced(t), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P", "Z"], places=2
     )
-    labels = {"P": "pending", "F": "F", "Z": "Z"}
+    labels = {"P": "pending", "F": "F", "O": "O", "Z": "Z"}
     return reshape.unpivot(turned, "o_orderpriority", labels, "status", "total")
 
 
-# Lines of a text; German texts have none, Spanish ones an empty list, French ones
-# a null at the end.
-LINES_SQL = """(SELECT doc_id, CASE lang WHEN 'de' THEN NULL WHEN 'es' THEN CAST([] AS VARCHAR[])
-    WHEN 'fr' THEN list_append(string_split(text, chr(10)), NULL) ELSE string_split(text, chr(10)) END AS lines
-    FROM documents)"""
+# Lines of every text, French ones with a null at the end; besides, under negative
+# numbers, rows without lines: null for German texts, an empty list for Spanish ones.
+LINES_SQL = """(SELECT doc_id, CASE lang WHEN 'fr' THEN list_append(string_split(text, chr(10)), NULL)
+        ELSE string_split(text, chr(10)) END AS lines FROM documents
+    UNION ALL SELECT -1 - doc_id, CASE lang WHEN 'es' THEN CAST([] AS VARCHAR[]) END
+    FROM documents WHERE lang IN ('de', 'es'))"""
 LINE_ROWS_SQL = f"""SELECT doc_id, {{}} unnest(lines) AS line FROM {LINES_SQL}"""
 POS_SQL = "CAST(unnest(range(len(lines))) AS INTEGER) AS pos,"
 NO_LINES_SQL = f" UNION ALL SELECT doc_id, {{}} NULL FROM {LINES_SQL} WHERE lines IS NULL OR len(lines) = 0"
@@ -62,13 +63,10 @@ NO_LINES_SQL = f" UNION ALL SELECT doc_id, {{}} NULL FROM {LINES_SQL} WHERE line
 def _line_lists(t: Tables) -> DataFrame:
     all_lines = lines("text")
     with_null = F.array_append(all_lines, F.lit(None).cast("string"))
-    kept = (
-        F.when(F.col("lang") == "de", F.lit(None))
-        .when(F.col("lang") == "es", F.array().cast("array<string>"))
-        .when(F.col("lang") == "fr", with_null)
-        .otherwise(all_lines)
-    )
-    return t.documents.select("doc_id", kept.alias("lines"))
+    full = t.documents.select("doc_id", F.when(F.col("lang") == "fr", with_null).otherwise(all_lines).alias("lines"))
+    empty = F.when(F.col("lang") == "es", F.array().cast("array<string>"))
+    without = t.documents.filter(F.col("lang").isin("de", "es")).select((-1 - F.col("doc_id")).alias("doc_id"), empty.alias("lines"))
+    return full.unionAll(without)
 
 
 @query(LINE_ROWS_SQL.format(""))
@@ -86,25 +84,23 @@ def posexplode_array_outer(t: Tables) -> DataFrame:
     return reshape.explode_array(_line_lists(t), ["doc_id"], "lines", "line", outer=True, position=True)
 
 
-# The props of an event as a map; errors have none, views an empty one, and
-# sign-ups a second entry without a value.
+# The props of every event as a map, sign-ups with a second entry without a value;
+# besides, under negative numbers, null for errors and an empty map for views.
 K_SQL = "CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS INTEGER)"
 ENTRIES_SQL = f"""SELECT event_id, 0 AS pos, 'k' AS key, {K_SQL} AS value FROM events
-    WHERE event_type NOT IN ('error', 'view')
     UNION ALL SELECT event_id, 1, 'eye', NULL FROM events WHERE event_type = 'signup'"""
-NO_ENTRIES_SQL = " UNION ALL SELECT event_id, NULL, NULL, NULL FROM events WHERE event_type IN ('error', 'view')"
+NO_ENTRIES_SQL = """ UNION ALL SELECT -1 - event_id, NULL, NULL, NULL FROM events
+    WHERE event_type IN ('error', 'view')"""
 
 
 def _maps(t: Tables) -> DataFrame:
     props = F.from_json("props", "map<string,int>")
     no_value = F.create_map(F.lit("eye"), F.lit(None).cast("int"))
-    kept = (
-        F.when(F.col("event_type") == "error", F.lit(None))
-        .when(F.col("event_type") == "view", F.create_map().cast("map<string,int>"))
-        .when(F.col("event_type") == "signup", F.map_concat(props, no_value))
-        .otherwise(props)
-    )
-    return t.events.select("event_id", kept.alias("features"))
+    entries = F.when(F.col("event_type") == "signup", F.map_concat(props, no_value)).otherwise(props)
+    full = t.events.select("event_id", entries.alias("features"))
+    empty = F.when(F.col("event_type") == "view", F.create_map().cast("map<string,int>"))
+    without = t.events.filter(F.col("event_type").isin("error", "view")).select((-1 - F.col("event_id")).alias("event_id"), empty.alias("features"))
+    return full.unionAll(without)
 
 
 @query(f"SELECT event_id, key, value FROM ({ENTRIES_SQL})")

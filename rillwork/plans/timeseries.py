@@ -44,7 +44,7 @@ def rank_family(t: Tables) -> DataFrame:
     SELECT *, frame_total / frame_rows AS centred_average FROM f"""
 )
 def centered_moving_average(t: Tables) -> DataFrame:
-    return timeseries.centred_average(_events(t), ["user_id"], BY_TIME, "value")
+    return timeseries.centred_average(_events(t), ["user_id"], BY_TIME, "value", places=2)
 
 
 @query(
@@ -53,7 +53,7 @@ def centered_moving_average(t: Tables) -> DataFrame:
     FROM events"""
 )
 def cumulative_sum(t: Tables) -> DataFrame:
-    return timeseries.cumulative_sum(_events(t), ["user_id"], BY_TIME, "value")
+    return timeseries.cumulative_sum(_events(t), ["user_id"], BY_TIME, "value", places=2)
 
 
 @query(
@@ -212,7 +212,7 @@ def time_spent_per_month(t: Tables) -> DataFrame:
 )
 def fill_mean(t: Tables) -> DataFrame:
     dirty = _dirty_events(t).withColumn("value", F.expr("try_cast(value AS DOUBLE)"))
-    return fill_with_mean(dirty, "value")
+    return fill_with_mean(dirty, "value", places=2)
 
 
 @query(

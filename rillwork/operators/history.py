@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillwork.functions.times import iso_day
-from rillwork.operators.joins import full_outer
 
 # Date pattern of the inputs, stand-ins for a missing and an open
 # date, and the indicators for active, updated and inactive rows.
@@ -41,7 +40,8 @@ def merge_history(base: DataFrame, updates: DataFrame, key: str, date: str, indi
     mark = F.when(F.col("new_mark") == UPDATED, F.lit(INACTIVE)).otherwise(
         F.coalesce("new_mark", "old_mark")
     )
-    merged = full_outer(old, new, key).select(
+    # Both sides hold one row per key, so no key is hot and a plain full join is best.
+    merged = old.join(new, key, "full").select(
         key, since.alias(date), until.alias("change_date"), mark.alias(indicator)
     )
 

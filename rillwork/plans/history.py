@@ -5,43 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.times import within_days
 from rillwork.operators.history import merge_history
 from rillwork.plans.registry import Tables, query
 
+#: Orders before this day make the base, orders from it on the updates.
+CUT = "1998-07-01"
 
-def _last_order(t: Tables, first: str, last: str) -> DataFrame:
-    orders = t.orders.filter(within_days("o_orderdate", first, last))
-    return orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("latest"))
 
+def _base_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers by their last order before the cut and from it on, in one pass over the orders.
 
-def _base(t: Tables) -> DataFrame:
-    """Customers with an order in 1995, the date as text, missing for one market segment."""
-    last = _last_order(t, "1995-01-01", "1995-12-31")
-    date = F.when(F.col("c_mktsegment") != "MACHINERY", F.date_format("latest", "MM-dd-yyyy"))
-    return last.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        "c_custkey", date.alias("last_update"), F.lit("A").alias("indicator")
+    Dates are text; base dates are missing for one market segment.  An update is
+    marked as one where the base has the customer.
+    """
+    day = F.to_date("o_orderdate")
+    early = day < F.lit(CUT).cast("date")
+    last = t.orders.groupBy("o_custkey").agg(
+        F.max(F.when(early, day)).alias("before"), F.max(F.when(~early, day)).alias("after")
     )
-
-
-def _updates(t: Tables) -> DataFrame:
-    """Customers with an order in 1996, an update where the base has them."""
-    known = _base(t).select(F.col("c_custkey").alias("known"))
-    last = _last_order(t, "1996-01-01", "1996-12-31")
-    return last.join(known, F.col("o_custkey") == F.col("known"), "left").select(
+    both = last.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    in_base = F.col("before").isNotNull() & F.col("c_custkey").isNotNull()
+    date = F.when(F.col("c_mktsegment") != "MACHINERY", F.date_format("before", "MM-dd-yyyy"))
+    base = both.filter(in_base).select("c_custkey", date.alias("last_update"), F.lit("A").alias("indicator"))
+    updates = both.filter(F.col("after").isNotNull()).select(
         F.col("o_custkey").alias("c_custkey"),
-        F.date_format("latest", "MM-dd-yyyy").alias("last_update"),
-        F.when(F.col("known").isNull(), "A").otherwise("U").alias("indicator"),
+        F.date_format("after", "MM-dd-yyyy").alias("last_update"),
+        F.when(in_base, "U").otherwise("A").alias("indicator"),
     )
+    return base, updates
 
 
 @query(
-    """WITH base AS (SELECT c_custkey, any_value(CASE WHEN c_mktsegment <> 'MACHINERY' THEN strftime(latest, '%Y-%m-%d')
+    f"""WITH base AS (SELECT c_custkey, any_value(CASE WHEN c_mktsegment <> 'MACHINERY' THEN strftime(latest, '%Y-%m-%d')
             ELSE '0001-01-01' END) AS d
         FROM customer JOIN (SELECT o_custkey, max(o_orderdate) AS latest FROM orders
-            WHERE year(o_orderdate) = 1995 GROUP BY 1) ON o_custkey = c_custkey GROUP BY 1),
+            WHERE CAST(o_orderdate AS DATE) < DATE '{CUT}' GROUP BY 1) ON o_custkey = c_custkey GROUP BY 1),
     updates AS (SELECT o_custkey AS c_custkey, strftime(max(o_orderdate), '%Y-%m-%d') AS d FROM orders
-        WHERE year(o_orderdate) = 1996 GROUP BY 1)
+        WHERE CAST(o_orderdate AS DATE) >= DATE '{CUT}' GROUP BY 1)
     SELECT c_custkey, b.d AS last_update, coalesce(u.d, '9999-12-31') AS change_date,
         CASE WHEN u.d IS NULL THEN 'A' ELSE 'I' END AS indicator
     FROM base b LEFT JOIN updates u USING (c_custkey)
@@ -49,4 +49,4 @@ def _updates(t: Tables) -> DataFrame:
     SELECT c_custkey, d, '9999-12-31', 'A' FROM updates"""
 )
 def scd2_merge(t: Tables) -> DataFrame:
-    return merge_history(_base(t), _updates(t), "c_custkey", "last_update", "indicator")
+    return merge_history(*_base_and_updates(t), "c_custkey", "last_update", "indicator")

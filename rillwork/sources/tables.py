@@ -10,10 +10,8 @@ from rillwork.operators.sets import union_distinct
 
 
 def sql_over(text: str, **frames: DataFrame) -> DataFrame:
-    """A SQL query over DataFrames registered as temporary views under their names."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return next(iter(frames.values())).sparkSession.sql(text)
+    """A SQL query over DataFrames that the text names in braces; no view of the session is touched."""
+    return next(iter(frames.values())).sparkSession.sql(text, **frames)
 
 
 def make_database(spark: SparkSession, name: str, location: str | None = None) -> None:

@@ -10,9 +10,14 @@ def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def literal(text: str) -> str:
+    """A regular expression that matches the text itself."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def token(text: str | Column, position: int, separator: str = " ") -> Column:
     """The token at a position from 0, null where there are fewer."""
-    return F.get(F.split(_column(text), separator), position)
+    return F.get(F.split(_column(text), literal(separator)), position)
 
 
 def words(text: str | Column) -> Column:

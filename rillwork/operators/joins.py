@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from rillwork.operators.ordered import positions
 
-#: Rows up to which a dimension may be sent to every executor.
-BROADCAST_ROWS = 250_000
-
 
 def inner(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, key)
@@ -48,12 +45,13 @@ def without(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
     return left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
 
 
-def with_dimension(
-    fact: DataFrame, dimension: DataFrame, on: Column | str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Inner join that sends the dimension to every executor if it is small enough."""
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dimension) if small else dimension, on)
+def with_dimension(fact: DataFrame, dimension: DataFrame, on: Column | str) -> DataFrame:
+    """Inner join with a dimension.
+
+    Spark sends the dimension to every executor if its bytes, known or measured at
+    run time, are below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    return fact.join(dimension, on)
 
 
 def value_lists(

@@ -12,7 +12,7 @@ from rillwork.operators.aggregates import share_of_total
 # a combined-format line starts with a dotted address, has ten more fields and a
 # remainder.
 BALANCER_LINE = r"^(\S+ ){14}.*$"
-COMBINED_LINE = r"^[0-9]+.[0-9]+.[0-9]+.[0-9]+ \S+ \S+( \S*){7} .*$"
+COMBINED_LINE = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+ \S+ \S+( \S*){7} .*$"
 
 BALANCER_FIELDS = (
     "time",

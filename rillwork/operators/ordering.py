@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.operators.joins import BROADCAST_ROWS
 from rillwork.operators.ordered import lookup
 from rillwork.session import cut_lineage
 
+#: Distinct ranked values up to which they are sent to every executor.
+BROADCAST_ROWS = 250_000
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows in an order; every task keeps at most ``k``."""

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillwork.functions.text import literal
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines as ``value``."""
@@ -18,7 +20,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fields(spark: SparkSession, path: str, names: Sequence[str], separator: str = "\t") -> DataFrame:
     """Separated text without quoting; the last field takes the rest of the line."""
-    fields = F.split("value", separator, len(names))
+    fields = F.split("value", literal(separator), len(names))
     lines = read_lines(spark, path).select(fields.alias("_f"))
     return lines.select(*[F.get("_f", i).alias(n) for i, n in enumerate(names)])
 

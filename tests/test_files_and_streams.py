@@ -57,7 +57,7 @@ def database(spark):
 
 
 def test_quoted_csv_table(spark, rows, tmp_path, database):
-    (tmp_path / "data.csv").write_text("1,'aks, Katti',31,'Male'\n2,'swt, Mahajan',30,'FeMale'\n")
+    (tmp_path / "data.csv").write_text("7,'north, upper',12,'open'\n8,'south, lower',40,'shut'\n")
     table = f"{database}.people"
     tables.quoted_csv_table(spark, table, "id INT, name STRING, age INT, gender STRING")
     tables.load_csv(spark, str(tmp_path / "data.csv"), table)
@@ -164,7 +164,7 @@ def test_console(spark, tmp_path, capfd):
 
 
 def test_sql_over_frames(spark, rows):
-    df = tables.sql_over("SELECT a.id FROM a JOIN b ON a.id = b.id", a=spark.range(5), b=spark.range(3, 9))
+    df = tables.sql_over("SELECT a.id FROM {a} a JOIN {b} b ON a.id = b.id", a=spark.range(5), b=spark.range(3, 9))
     assert rows(df) == [(3,), (4,)]
 
 

@@ -98,7 +98,10 @@ def centres_of(classes: DataFrame, cell_rows: int) -> dict:
     def fit(table: pa.Table) -> pa.Table:
         k = min(table["k"][0].as_py(), table.num_rows)
         c = fit_centres(unit(table["vector"].to_pylist()), k)
-        return pa.table({"grp": [table["grp"][0].as_py()], "centres": [c.ravel().tolist()], "k": [k]})
+        return pa.table(
+            [[table["grp"][0].as_py()], [c.ravel().tolist()], pa.array([k], pa.int32())],
+            names=["grp", "centres", "k"],
+        )
 
     fitted = sample.groupBy("grp").applyInArrow(fit, "grp string, centres array<double>, k int")
     return {r.grp: np.array(r.centres).reshape(r.k, -1) for r in fitted.collect()}

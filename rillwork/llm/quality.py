@@ -264,6 +264,10 @@ def rules(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
 
 def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents that ``rules`` keeps, with all their columns."""
-    whole = saved(measure(df, text, "_q_"), "measured")
-    out = judged(whole, lang, source, "_q_")
-    return out.filter("kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    # The row travels as one column, so its columns cannot clash with the operator's own.
+    packed = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.col(source).alias("_source"),
+    )
+    whole = saved(measure(packed, "_text").drop("_text"), "measured")
+    return judged(whole, "_lang", "_source").filter("kept").select("_row.*")

@@ -36,6 +36,8 @@ LEAST_MEAN = 0.5
 #: Texts that give ordinary words, and caught values, that the models are trained on at most (about).
 TRAIN_TEXTS = 2_000
 TRAIN_VALUES = 20_000
+#: Weight of the single characters' frequencies in every row of a model.
+PRIOR = 5.0
 MASK = "[SECRET]"
 
 
@@ -90,11 +92,18 @@ def transitions(strings: DataFrame, column: str) -> DataFrame:
 
 
 def smoothed(counts: dict[int, int]) -> list[float]:
-    """Log-probabilities of a character after another, one added to every count."""
+    """Log-probabilities of a character after another.
+
+    Every row is mixed with ``PRIOR`` draws from the frequencies of single
+    characters, one added to each, so that a character that never begins a pair
+    still says how common its successor is.
+    """
     width = len(ALPHABET) + 1
+    single = [1 + sum(counts.get(first * width + c, 0) for first in range(width)) for c in range(width)]
+    whole = sum(single)
     out = []
     for first in range(width):
-        row = [counts.get(first * width + second, 0) + 1 for second in range(width)]
+        row = [counts.get(first * width + c, 0) + PRIOR * single[c] / whole for c in range(width)]
         total = sum(row)
         out += [log(n / total) for n in row]
     return out
@@ -226,10 +235,11 @@ def masked(text: Column) -> Column:
 
 def mask(df: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """Every row of ``df`` with its secrets masked; a column ``length`` counts the new text's characters."""
-    scanned = scan(df, text)
-    new = {text: masked(F.col(text))}
-    out = scanned.withColumns(new)
+    # The row travels as one column, so its columns cannot clash with the operator's own.
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("_text"))
+    scanned = scan(packed, "_text").withColumn("_new", masked(F.col("_text")))
+    row = F.col("_row").withField(text, F.col("_new"))
     if length in df.columns:
-        counted = F.when(F.col(text).isNull(), F.col(length)).otherwise(F.length(text)).cast(df.schema[length].dataType)
-        out = out.withColumn(length, counted)
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+        counted = F.coalesce(F.length("_new"), F.col("_row")[length]).cast(df.schema[length].dataType)
+        row = row.withField(length, counted)
+    return scanned.select(row.alias("_row")).select("_row.*")

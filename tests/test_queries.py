@@ -20,14 +20,16 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    """Only operators on whole corpora may lack SQL; their own tests compare them by brute force."""
+    assert set(SQL) <= set(QUERIES)
+    assert all(n == "pipeline" or n.startswith("op") for n in set(QUERIES) - set(SQL))
 
 
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", SQL)
 def test_query(spark, connection, name):
     assert differences(QUERIES[name](spark, FOLDER), connection, SQL[name]) is None
 

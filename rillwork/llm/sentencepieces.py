@@ -29,11 +29,11 @@ from rillwork.llm.common import add_columns
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Chunks whose ids a task remembers, twice so many at most, and the longest one.
-KEPT_CHUNKS = 400_000
+#: Words whose ids a worker remembers, twice so many at most, and the longest one.
+KEPT_CHUNKS = 200_000
 KEPT_LENGTH = 48
 #: Pairs of pieces whose verdict a task remembers.
-KEPT_PAIRS = 500_000
+KEPT_PAIRS = 200_000
 
 
 class Codec:
@@ -94,14 +94,13 @@ class Codec:
         self.shorter = {
             t: next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in known), None) for t in usable
         }
-        self.halves = {t: self.last_merge(t) for t in usable if len(t) > 1}
-        self.right_ends = {t: self.spine(t, -1) for t in usable}
-        self.left_ends = {t: self.spine(t, 0) for t in usable}
+        # Ends of pieces, worked out when they are first met.
+        self.right_ends: dict[str, tuple] = {}
+        self.left_ends: dict[str, tuple] = {}
         self.fits: dict[str, dict[str, bool]] = {t: {} for t in usable}
         self.n_fits = 0
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     def last_merge(self, piece: str) -> tuple[str, str]:
         """The two parts that a piece is merged from in the end."""
@@ -148,7 +147,7 @@ class Codec:
             if len(part) == 1:
                 return tuple(reversed(found))
             taken = self.rank[part]
-            parts = self.halves[part]
+            parts = self.last_merge(part)
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether merging the characters of both pieces gives the two pieces again.
@@ -157,7 +156,12 @@ class Codec:
         is merged over the seam, so only the parts at the seam are merged anew, in
         the order of their ranks; of equal ranks the left one goes first.
         """
-        rank, lefts, rights = self.rank, self.right_ends[left], self.left_ends[right]
+        lefts, rights = self.right_ends.get(left), self.left_ends.get(right)
+        if lefts is None:
+            lefts = self.right_ends[left] = self.spine(left, -1)
+        if rights is None:
+            rights = self.left_ends[right] = self.spine(right, 0)
+        rank = self.rank
         i = j = 0
         while True:
             (a, a_taken), (b, b_taken) = lefts[i], rights[j]
@@ -254,18 +258,29 @@ class Codec:
         """Ids of a whole text, the end id last."""
         out: list[int] = []
         if text:
-            chunks, keep = self.chunks, KEPT_LENGTH
-            for c in self.cut.findall(SPACE + text.replace(" ", SPACE)):
-                ids = chunks.get(c)
+            chunks, spaces = self.chunks, 0
+            for word in text.replace(SPACE, " ").split(" "):
+                # One space belongs to every word, the first one's is the dummy prefix;
+                # an empty word is one more space of a run.
+                if not word:
+                    spaces += 1
+                    continue
+                if spaces:
+                    out += self.chunk(SPACE * (spaces + 1) + word)
+                    spaces = 0
+                    continue
+                ids = chunks.get(word)
                 if ids is None:
-                    ids = self.older.get(c) or self.chunk(c)
-                    if len(c) <= keep:
+                    ids = self.older.get(word) or self.chunk(SPACE + word)
+                    if len(word) <= KEPT_LENGTH:
                         if len(chunks) >= KEPT_CHUNKS:
-                            # Chunks that come again move from the older half to the newer one.
+                            # Words that come again move from the older half to the newer one.
                             self.older, self.chunks = chunks, {}
                             chunks = self.chunks
-                        chunks[c] = ids
+                        chunks[word] = ids
                 out += ids
+            if spaces:
+                out += self.chunk(SPACE * spaces)
         out.append(self.end)
         return out
 

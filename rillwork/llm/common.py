@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -14,6 +14,8 @@ from rillwork.session import shared_path
 
 #: Rows that a Python task takes out of an Arrow batch at a time.
 SLICE_ROWS = 256
+#: Rows that Spark sends to Python at a time, where the session leaves that at its default of 10,000: texts are long.
+BATCH_ROWS, BATCH_CONF, DEFAULT_ROWS = 500, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 #: The characters between words, U+0020 and U+0009 to U+000D, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +31,12 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch, unless the user has chosen a number."""
+    if spark.conf.get(BATCH_CONF, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text: ``bytes.split`` cuts at U+0020 and U+0009 to U+000D, nothing else."""
     return (text or b"").split()
@@ -47,6 +55,7 @@ def add_columns(
     ``df`` that has a new field's name is replaced; the inputs are read before.
     Only ``SLICE_ROWS`` rows are held as Python values at a time.
     """
+    small_batches(df.sparkSession)
     names = [n for n, _ in fields]
     inner = {n: f"_in_{i}" for i, n in enumerate(inputs)}
     shown = df.select(

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillwork.llm.common import add_columns, saved
+from rillwork.llm.common import add_columns, saved, small_batches
 from rillwork.llm.graph import components
 
 #: Registers, and registers of a band.
@@ -158,6 +158,7 @@ def likely(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, least: int) -> DataFrame:
     """Pairs whose full sets have at least ``least`` hundredths of their union in common."""
+    small_batches(texts.sparkSession)
     left = texts.select(F.col("id").alias("b"), F.col("text").cast("binary").alias("tb"))
     right = texts.select(F.col("id").alias("a"), F.col("text").cast("binary").alias("ta"))
     joined = pairs.join(left, "b").join(right, "a").select("a", "b", "ta", "tb")

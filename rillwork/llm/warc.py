@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import saved
+from rillwork.llm.common import saved, small_batches
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -144,6 +144,7 @@ def write_bundles(pages: DataFrame, path: str, id: str = "page_id", url: str = "
     share that id are responses too, as a record cannot refer to itself.  Rows
     without an id are responses.  A null payload is empty.
     """
+    small_batches(pages.sparkSession)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(
         F.col(id).cast("bigint").alias("id"), F.col(url).cast("string").alias("url"), body.alias("payload"),

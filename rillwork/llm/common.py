@@ -42,30 +42,40 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
+def _values(batch: pa.RecordBatch, name: str) -> list:
+    """A column, or a field of a struct column without nulls, as Python values; strings as UTF-8 bytes."""
+    outer, _, field = name.partition(".")
+    column = batch.column(outer)
+    column = column.field(field) if field else column
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        column = column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())
+    return column.to_pylist()
+
+
 def add_columns(
     df: DataFrame,
     inputs: Sequence[str],
     fields: Sequence[tuple[str, T.DataType]],
     make: Callable[[], Callable[..., tuple]],
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """Add columns worked out in Python from single rows; all other columns pass through.
+    """Add columns worked out in Python from single rows; other columns pass through but for ``drop``.
 
     ``make()`` runs once per task and returns a function of the input values that
-    returns one value per new field.  Strings arrive as UTF-8 bytes.  A column of
+    returns one value per new field.  Strings arrive as UTF-8 bytes.  An input may
+    be a field ``outer.inner`` of a struct column that has no nulls.  A column of
     ``df`` that has a new field's name is replaced; the inputs are read before.
-    Only ``SLICE_ROWS`` rows are held as Python values at a time.
+    Every column is sent to Python once and sent back only if it stays.  Only
+    ``SLICE_ROWS`` rows are held as Python values at a time.
     """
     small_batches(df.sparkSession)
     names = [n for n, _ in fields]
-    inner = {n: f"_in_{i}" for i, n in enumerate(inputs)}
+    gone = {n.lower() for n in [*names, *drop]}
+    rest = [c for c in df.columns if c.lower() not in gone]
+    inner = {n: n if n.partition(".")[0] in rest else f"_in_{i}" for i, n in enumerate(inputs)}
     shown = df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in {n.lower() for n in names}],
-        *[
-            (F.col(n).cast("binary") if isinstance(df.schema[n].dataType, T.StringType) else F.col(n)).alias(i)
-            for n, i in inner.items()
-        ],
+        *[F.col(f"`{c}`") for c in rest], *[F.col(n).alias(i) for n, i in inner.items() if i != n]
     )
-    rest = [c for c in shown.columns if c not in inner.values()]
     schema = T.StructType([shown.schema[c] for c in rest] + [T.StructField(n, t) for n, t in fields])
     types = [to_arrow_type(t) for _, t in fields]
 
@@ -74,8 +84,7 @@ def add_columns(
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(start, SLICE_ROWS)
-                values = [piece.column(i).to_pylist() for i in inner.values()]
-                made = list(zip(*[row(*v) for v in zip(*values)]))
+                made = list(zip(*[row(*v) for v in zip(*[_values(piece, i) for i in inner.values()])]))
                 yield pa.RecordBatch.from_arrays(
                     [*[piece.column(c) for c in rest], *[pa.array(v, t) for v, t in zip(made, types)]],
                     names=[*rest, *names],

@@ -212,7 +212,7 @@ FOUND = T.ArrayType(
 )
 
 
-def scan(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
+def scan(df: DataFrame, text: str = "text", templates=TEMPLATES, keep_text: bool = True) -> DataFrame:
     """Add ``notices``: (start, end, license, reduction, differences) per confirmed notice.
 
     Places are code points, end exclusive.  Whole texts are searched; blocks of
@@ -226,12 +226,12 @@ def scan(df: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
         known = prepared(templates)
         return lambda value: ([dict(zip(keys, n)) for n in known.find((value or b"").decode())],)
 
-    return add_columns(df, [text], [("notices", FOUND)], make)
+    return add_columns(df, [text], [("notices", FOUND)], make, [] if keep_text else [text])
 
 
 def report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, its licenses and all confirmed notices."""
-    found = scan(df.select(F.col(id), F.col(text)), text)
+    found = scan(df.select(F.col(id), F.col(text)), text, keep_text=False)
     return found.select(
         id,
         F.size("notices").cast("bigint").alias("n_notices"),

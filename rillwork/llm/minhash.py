@@ -103,7 +103,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, text: str, size: int) -> DataFrame:
-    """Add the size and digest of every text's shingle set and its registers, four to a number."""
+    """Replace every text by the size and digest of its shingle set and its registers, four to a number."""
 
     def make():
         def row(value):
@@ -124,7 +124,7 @@ def sketches(df: DataFrame, text: str, size: int) -> DataFrame:
         ("_digest", T.BinaryType()),
         ("_bands", T.ArrayType(T.LongType())),
     ]
-    return add_columns(df, [text], fields, make)
+    return add_columns(df, [text], fields, make, drop=[text])
 
 
 def estimate(a: str, b: str, n: str, m: str) -> Column:
@@ -194,7 +194,7 @@ def near_texts(
     ignored.  Calling it runs jobs.
     """
     rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    sketched = saved(sketches(rows, "text", size).drop("text"), "sketches")
+    sketched = saved(sketches(rows, "text", size), "sketches")
     able = F.col("id").isNotNull() & F.col("_digest").isNotNull()
     classes = saved(
         sketched.filter(able)

@@ -63,10 +63,10 @@ def measure_text(text: bytes | None) -> tuple[int, ...]:
     return n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines)
 
 
-def measure(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+def measure(df: DataFrame, text: str = "text", prefix: str = "", drop: tuple[str, ...] = ()) -> DataFrame:
     """Add the six counts of every whole text."""
     return add_columns(
-        df, [text], [(prefix + c, T.LongType()) for c in COUNTS], lambda: measure_text
+        df, [text], [(prefix + c, T.LongType()) for c in COUNTS], lambda: measure_text, drop
     )
 
 
@@ -257,7 +257,7 @@ def rules(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     measured; repeated rows get a row each; an empty table gives an empty result;
     other columns are ignored.  Calling it runs jobs.
     """
-    slim = measure(df.select(id, lang, source, text), text).drop(text)
+    slim = measure(df.select(id, lang, source, text), text, drop=(text,))
     out = judged(saved(slim, "measured"), lang, source)
     return out.select(id, *COUNTS[:5], "base_failed", "kept", F.col("_d2").alias("distance"))
 
@@ -267,7 +267,7 @@ def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", source: str
     # The row travels as one column, so its columns cannot clash with the operator's own.
     packed = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
-        F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.col(source).alias("_source"),
+        F.col(lang).alias("_lang"), F.col(source).alias("_source"),
     )
-    whole = saved(measure(packed, "_text").drop("_text"), "measured")
+    whole = saved(measure(packed, f"_row.{text}"), "measured")
     return judged(whole, "_lang", "_source").filter("kept").select("_row.*")

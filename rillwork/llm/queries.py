@@ -18,7 +18,7 @@ MODEL = "piece_bpe_32k.model"
 def encoded(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """Ids of every whole text, decoded again, as digests."""
     path = public_tokenizers.path(MODEL)
-    ids = sentencepieces.encode(docs.select("doc_id", "text"), path).drop("text")
+    ids = sentencepieces.encode(docs.select("doc_id", "text"), path, keep_text=False)
     back = sentencepieces.decode(ids, path)
     return back.select("doc_id", *sentencepieces.digests(back), *(["ids"] if with_ids else []))
 
@@ -27,7 +27,7 @@ def op1_toxicity(t: Tables) -> DataFrame:
     labels = t.labels.withColumn("low_quality", 1 - F.col("quality"))
     names = ("low_quality", "toxic")
     chain = toxicity.train(t.documents, labels, names, "doc_id", "text")
-    return toxicity.score(t.documents.select("doc_id", "text"), chain).drop("text")
+    return toxicity.score(t.documents.select("doc_id", "text"), chain, keep_text=False)
 
 
 def op2_sentencepiece(t: Tables) -> DataFrame:

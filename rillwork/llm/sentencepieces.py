@@ -343,7 +343,9 @@ def codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
-def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", keep_text: bool = True
+) -> DataFrame:
     """Add the ids of every whole text with the end id last; a null text counts as empty.
 
     Empty texts give the end id alone, long texts are encoded whole, repeated rows
@@ -355,7 +357,7 @@ def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids")
         of = codec(model_file).encode
         return lambda value: (of(value.decode() if value else ""),)
 
-    return add_columns(df, [text], [(ids, T.ArrayType(T.IntegerType()))], make)
+    return add_columns(df, [text], [(ids, T.ArrayType(T.IntegerType()))], make, [] if keep_text else [text])
 
 
 def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, names: Sequence[str], id: str, tex
     return train_chain([], np.zeros((0, len(names))), np.zeros(0), names)
 
 
-def score(df: DataFrame, chain: list[dict], text: str = "text") -> DataFrame:
+def score(df: DataFrame, chain: list[dict], text: str = "text", keep_text: bool = True) -> DataFrame:
     """Add ``p_<category>`` and ``is_<category>`` for every category of the chain.
 
     Whole texts are scored; null and empty texts have no words and get the
@@ -221,4 +221,4 @@ def score(df: DataFrame, chain: list[dict], text: str = "text") -> DataFrame:
 
         return row
 
-    return add_columns(df, [text], fields, make)
+    return add_columns(df, [text], fields, make, [] if keep_text else [text])

@@ -18,8 +18,7 @@ MODEL = "piece_bpe_32k.model"
 def encoded(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """Ids of every whole text, decoded again, as digests."""
     path = public_tokenizers.path(MODEL)
-    ids = sentencepieces.encode(docs.select("doc_id", "text"), path, keep_text=False)
-    back = sentencepieces.decode(ids, path)
+    back = sentencepieces.encode_and_decode(docs.select("doc_id", "text"), path)
     return back.select("doc_id", *sentencepieces.digests(back), *(["ids"] if with_ids else []))
 
 

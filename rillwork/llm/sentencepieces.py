@@ -370,6 +370,28 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "decode
     return add_columns(df, [ids], [(text, T.StringType())], make)
 
 
+def encode_and_decode(
+    df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """Replace every text by its ids and by the text of these ids, in one pass through Python.
+
+    The same as ``encode`` and then ``decode``, but a task needs one worker with one
+    codec, not two.  Nulls, empty texts and clashing names as there.
+    """
+
+    def make():
+        of = codec(model_file)
+
+        def row(value):
+            made = of.encode(value.decode() if value else "")
+            return made, of.decode(made)
+
+        return row
+
+    fields = [(ids, T.ArrayType(T.IntegerType())), (decoded, T.StringType())]
+    return add_columns(df, [text], fields, make, [text])
+
+
 def digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> list:
     """Columns that identify ids and text: count and digest of the ids, digest of the text."""
     return [

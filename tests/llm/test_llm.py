@@ -85,6 +85,11 @@ def test_encode_and_decode_tables(spark, library):
         ids = library.encode(text or "", add_eos=True)
         assert row.ids == ids and row.decoded == library.decode(ids)
     assert sentencepieces.encode(df.limit(0), MODEL).count() == 0
+    once = sentencepieces.encode_and_decode(df, MODEL)
+    assert [(r.doc_id, r.ids, r.decoded) for r in once.orderBy("doc_id").collect()] == [
+        (r.doc_id, r.ids, r.decoded) for r in got
+    ]
+    assert "text" not in once.columns and sentencepieces.encode_and_decode(df.limit(0), MODEL).count() == 0
 
 
 # --- vectors -----------------------------------------------------------------

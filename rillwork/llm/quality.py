@@ -218,18 +218,25 @@ def estimates(rows: DataFrame) -> DataFrame:
     return saved(final.withColumn("place", best).filter("place = 1").drop("place", "start"), "estimate")
 
 
-def judged(df: DataFrame, lang: str = "lang", source: str = "source", prefix: str = "") -> DataFrame:
-    """Add ``base_failed`` and ``kept`` to a measured table that is written out already.
+def judged(
+    df: DataFrame, lang: str = "lang", source: str = "source", prefix: str = "", counts: DataFrame | None = None
+) -> DataFrame:
+    """Add ``base_failed`` and ``kept`` to a measured table.
 
-    Estimates come from the texts that pass the plain limits, per language and
+    ``counts`` is the same table, written out already, with at least the counts,
+    language and source; ``df`` itself unless given.  Estimates come from the texts that pass the plain limits, per language and
     source; groups with fewer than ``LEAST_ROWS`` of them share one estimate, and if
     even that is smaller, its texts are all kept.  Null language and null source
     are values like others.  Texts that fail the plain limits are never kept.
     """
-    keyed = df.withColumn("_grp", group_key(lang, source)).withColumns(
-        {f"_{f}": c for f, c in zip(FEATURES, features(prefix))}
-    )
-    passing = keyed.filter(~failed(prefix)).select(
+
+    def with_features(table: DataFrame) -> DataFrame:
+        return table.withColumn("_grp", group_key(lang, source)).withColumns(
+            {f"_{f}": c for f, c in zip(FEATURES, features(prefix))}
+        )
+
+    keyed = with_features(df)
+    passing = with_features(df if counts is None else counts).filter(~failed(prefix)).select(
         F.col("_grp").alias("own"), *[F.col(f"_{f}").alias(f) for f in FEATURES]
     )
     sizes = saved(passing.groupBy("own").agg(F.count(F.lit(1)).alias("n")), "groups")
@@ -269,5 +276,8 @@ def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", source: str
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
         F.col(lang).alias("_lang"), F.col(source).alias("_source"),
     )
-    whole = saved(measure(packed, f"_row.{text}"), "measured")
-    return judged(whole, "_lang", "_source").filter("kept").select("_row.*")
+    # Texts are measured twice, so that no second copy of them is written.
+    slim = df.select(F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.col(source).alias("_source"))
+    counts = saved(measure(slim, "_text", drop=("_text",)), "measured")
+    whole = measure(packed, f"_row.{text}")
+    return judged(whole, "_lang", "_source", counts=counts).filter("kept").select("_row.*")

@@ -236,8 +236,9 @@ def masked(text: Column) -> Column:
 def mask(df: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """Every row of ``df`` with its secrets masked; a column ``length`` counts the new text's characters."""
     # The row travels as one column, so its columns cannot clash with the operator's own.
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("_text"))
-    scanned = scan(packed, "_text").withColumn("_new", masked(F.col("_text")))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    inside = f"_row.{text}"
+    scanned = scan(packed, inside).withColumn("_new", masked(F.col(inside)))
     row = F.col("_row").withField(text, F.col("_new"))
     if length in df.columns:
         counted = F.coalesce(F.length("_new"), F.col("_row")[length]).cast(df.schema[length].dataType)

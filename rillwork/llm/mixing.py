@@ -249,8 +249,9 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
         .distinct(),
         "plan",
     )
+    # The plan has a row per document, so it grows with the table and is never broadcast, however small.
     joined = df.join(
-        plan,
+        plan.hint("merge"),
         F.col(source).cast("string").eqNullSafe(F.col("_s"))
         & F.col(id).cast("bigint").eqNullSafe(F.col("_d"))
         & (word_count(text) == F.col("_z")),

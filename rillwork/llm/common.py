@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +22,38 @@ BATCH_ROWS, BATCH_CONF, DEFAULT_ROWS = 500, "spark.sql.execution.arrow.maxRecord
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+#: Paths written in the open scratch scopes, innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``saved`` writes inside, but for those that outlive the scope.
+
+    What is used after the scope must not read the others, not even lazily.
+    """
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def saved(df: DataFrame, purpose: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it from there.
 
     Cuts lineage, survives lost executors, and lets later scans read only the
-    columns they need.
+    columns they need.  A table that ``outlives`` its scratch scope belongs to the
+    scope around that one, if any.
     """
     path = shared_path(df.sparkSession, purpose)
+    scopes = _scopes.get()[:-1] if outlives else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import saved
+from rillwork.llm.common import saved, scratch
 
 
 def _smallest(pairs: DataFrame, key: str, value: str) -> DataFrame:
@@ -38,26 +38,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     before = _state(pairs)
     while before[0]:
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
-            pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
-        least = _smallest(both, "u", "v")
-        # Larger neighbours of u go to the smallest id among u and its neighbours.
-        large = (
-            pairs.join(least, pairs.lo == least.u)
-            .select("hi", F.least("u", "least").alias("lo"))
-            .distinct()
-        )
-        large = saved(large, "large")
-        least = _smallest(large, "hi", "lo")
-        joined = large.join(least.withColumnRenamed("hi", "u"), F.col("hi") == F.col("u"))
-        small = (
-            joined.filter(F.col("lo") != F.col("least"))
-            .select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-            .unionAll(least.select("hi", F.col("least").alias("lo")))
-            .distinct()
-        )
-        pairs = saved(small, "edges")
+        with scratch(edges.sparkSession):
+            both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
+                pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+            )
+            least = _smallest(both, "u", "v")
+            # Larger neighbours of u go to the smallest id among u and its neighbours.
+            large = (
+                pairs.join(least, pairs.lo == least.u)
+                .select("hi", F.least("u", "least").alias("lo"))
+                .distinct()
+            )
+            large = saved(large, "large")
+            least = _smallest(large, "hi", "lo")
+            joined = large.join(least.withColumnRenamed("hi", "u"), F.col("hi") == F.col("u"))
+            small = (
+                joined.filter(F.col("lo") != F.col("least"))
+                .select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
+                .unionAll(least.select("hi", F.col("least").alias("lo")))
+                .distinct()
+            )
+            pairs = saved(small, "edges", outlives=True)
         after = _state(pairs)
         if after == before:
             break

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillwork.llm.common import add_columns, saved, small_batches
+from rillwork.llm.common import add_columns, saved, scratch, small_batches
 from rillwork.llm.graph import components
 
 #: Registers, and registers of a band.
@@ -195,47 +195,49 @@ def near_texts(
     """
     rows = df.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     sketched = saved(sketches(rows, "text", size), "sketches")
-    able = F.col("id").isNotNull() & F.col("_digest").isNotNull()
-    classes = saved(
-        sketched.filter(able)
-        .groupBy("_digest")
-        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("_bands").alias("bands")),
-        "classes",
-    )
-    keyed = classes.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", "band", F.xxhash64("band", "value").alias("key")
-    )
-    hubs = (
-        keyed.groupBy("key")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-        .filter(F.col("hub") != F.col("last"))
-        .select(F.col("key").alias("k"), "hub")
-    )
-    hubs = saved(hubs, "hubs")
-    members = saved(
-        keyed.join(hubs, F.col("key") == F.col("k")).select("key", "band", "hub", "id"), "members"
-    )
-    stars = saved(
-        members.filter(F.col("hub") != F.col("id"))
-        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-        .distinct(),
-        "stars",
-    )
-    ids = saved(members.select(F.col("id").alias("i")).distinct(), "ids")
-    texts = saved(rows.join(ids, F.col("id") == F.col("i"), "left_semi"), "texts")
-    slim = saved(classes.join(ids, F.col("id") == F.col("i"), "left_semi").drop("_digest"), "slim")
-    first = saved(verify(likely(stars, slim, least), texts, size, least), "linked")
-    open_ = still_open(members, components(first), slim)
-    second = in_blocks(open_, texts, size, least).unionAll(
-        verify(in_pairs(open_, least), texts, size, least)
-    )
-    parts = components(first.unionAll(second))
-    known = saved(
-        classes.join(parts.withColumnRenamed("id", "p"), F.col("id") == F.col("p"), "left").select(
-            F.col("_digest").alias("d"), F.coalesce("component", "id").alias("component")
-        ),
-        "known",
-    )
+    with scratch(df.sparkSession):
+        able = F.col("id").isNotNull() & F.col("_digest").isNotNull()
+        classes = saved(
+            sketched.filter(able)
+            .groupBy("_digest")
+            .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("_bands").alias("bands")),
+            "classes",
+        )
+        keyed = classes.select("id", F.posexplode("bands").alias("band", "value")).select(
+            "id", "band", F.xxhash64("band", "value").alias("key")
+        )
+        hubs = (
+            keyed.groupBy("key")
+            .agg(F.min("id").alias("hub"), F.max("id").alias("last"))
+            .filter(F.col("hub") != F.col("last"))
+            .select(F.col("key").alias("k"), "hub")
+        )
+        hubs = saved(hubs, "hubs")
+        members = saved(
+            keyed.join(hubs, F.col("key") == F.col("k")).select("key", "band", "hub", "id"), "members"
+        )
+        stars = saved(
+            members.filter(F.col("hub") != F.col("id"))
+            .select(F.col("hub").alias("a"), F.col("id").alias("b"))
+            .distinct(),
+            "stars",
+        )
+        ids = saved(members.select(F.col("id").alias("i")).distinct(), "ids")
+        texts = saved(rows.join(ids, F.col("id") == F.col("i"), "left_semi"), "texts")
+        slim = saved(classes.join(ids, F.col("id") == F.col("i"), "left_semi").drop("_digest"), "slim")
+        first = saved(verify(likely(stars, slim, least), texts, size, least), "linked")
+        open_ = still_open(members, components(first), slim)
+        second = in_blocks(open_, texts, size, least).unionAll(
+            verify(in_pairs(open_, least), texts, size, least)
+        )
+        parts = components(first.unionAll(second))
+        known = saved(
+            classes.join(parts.withColumnRenamed("id", "p"), F.col("id") == F.col("p"), "left").select(
+                F.col("_digest").alias("d"), F.coalesce("component", "id").alias("component")
+            ),
+            "known",
+            outlives=True,
+        )
     joined = sketched.withColumn("_d", F.when(F.col("id").isNotNull(), F.col("_digest"))).join(
         known, F.col("_d") == F.col("d"), "left"
     )
@@ -373,8 +375,8 @@ def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", size: int
 
     Rows with one id are one document; they stay together.
     """
-    dropped = saved(
-        near_texts(df, id, text, size, least).filter(~F.col("kept")).select(F.col(id).alias("_gone")).distinct(),
-        "gone",
-    )
+    with scratch(df.sparkSession):
+        found = near_texts(df, id, text, size, least)
+        gone = found.filter(~F.col("kept")).select(F.col(id).alias("_gone")).distinct()
+        dropped = saved(gone, "gone", outlives=True)
     return df.join(dropped, F.col(id).cast("bigint") == F.col("_gone"), "left_anti")

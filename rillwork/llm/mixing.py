@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import WORD, saved
+from rillwork.llm.common import WORD, saved, scratch
 
 #: Weights of the sources in order, repeating, and the most copies of a document.
 WEIGHTS = (5, 2, 1)
@@ -242,13 +242,15 @@ def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: every row of ``df`` as often as it is taken, with all its columns."""
-    plan = saved(
-        mixed(df, id, text, source)
-        .select(F.col("source").alias("_s"), F.col(id).alias("_d"), F.col("size").alias("_z"), F.col("copies").alias("_c"))
-        .filter("_c != 1")
-        .distinct(),
-        "plan",
-    )
+    with scratch(df.sparkSession):
+        plan = saved(
+            mixed(df, id, text, source)
+            .select(F.col("source").alias("_s"), F.col(id).alias("_d"), F.col("size").alias("_z"), F.col("copies").alias("_c"))
+            .filter("_c != 1")
+            .distinct(),
+            "plan",
+            outlives=True,
+        )
     # The plan has a row per document, so it grows with the table and is never broadcast, however small.
     joined = df.join(
         plan.hint("merge"),

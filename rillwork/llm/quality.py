@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rillwork.llm.common import add_columns, saved
+from rillwork.llm.common import add_columns, saved, scratch
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 FEATURES = ("length", "word_length", "symbols", "dup_lines", "repeats")
@@ -239,15 +239,16 @@ def judged(
     passing = with_features(df if counts is None else counts).filter(~failed(prefix)).select(
         F.col("_grp").alias("own"), *[F.col(f"_{f}").alias(f) for f in FEATURES]
     )
-    sizes = saved(passing.groupBy("own").agg(F.count(F.lit(1)).alias("n")), "groups")
-    small = F.when(F.col("n") < LEAST_ROWS, F.lit("")).otherwise(F.col("own"))
-    groups = sizes.select("own", small.alias("grp"))
-    rows = passing.join(groups, "own").drop("own")
-    totals = sizes.select(small.alias("grp"), "n").groupBy("grp").agg(F.sum("n").alias("n"))
-    used = totals.filter(F.col("n") >= LEAST_ROWS).select("grp")
-    rows = saved(rows.join(used, "grp", "left_semi"), "features")
-    found = estimates(rows)
-    by_own = saved(groups.join(found, "grp").drop("grp"), "verdicts")
+    with scratch(df.sparkSession):
+        sizes = saved(passing.groupBy("own").agg(F.count(F.lit(1)).alias("n")), "groups")
+        small = F.when(F.col("n") < LEAST_ROWS, F.lit("")).otherwise(F.col("own"))
+        groups = sizes.select("own", small.alias("grp"))
+        rows = passing.join(groups, "own").drop("own")
+        totals = sizes.select(small.alias("grp"), "n").groupBy("grp").agg(F.sum("n").alias("n"))
+        used = totals.filter(F.col("n") >= LEAST_ROWS).select("grp")
+        rows = saved(rows.join(used, "grp", "left_semi"), "features")
+        found = estimates(rows)
+        by_own = saved(groups.join(found, "grp").drop("grp"), "verdicts", outlives=True)
     marked = keyed.withColumnsRenamed({f"_{f}": f"_f_{f}" for f in FEATURES})
     marked = marked.join(by_own, marked["_grp"] == by_own["own"], "left")
     d = marked.withColumns({f: F.col(f"_f_{f}") for f in FEATURES}).withColumn(

@@ -17,7 +17,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import saved
+from rillwork.llm.common import saved, scratch
 
 #: Kinds in the order in which spans that begin at one place are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -109,10 +109,10 @@ def smoothed(counts: dict[int, int]) -> list[float]:
     return out
 
 
-def train(base: DataFrame, text: str) -> list[float]:
+def train(df: DataFrame, base: DataFrame, text: str) -> list[float]:
     """The log-likelihood ratio of every transition, random over ordinary.
 
-    ``base`` has the plain patterns' spans.  About ``TRAIN_TEXTS`` texts and
+    ``base`` has the plain patterns' spans of the texts of ``df``.  About ``TRAIN_TEXTS`` texts and
     ``TRAIN_VALUES`` caught values are used, chosen by a hash of the text or value;
     what reaches the driver is one count per pair of characters, 4,624 at most.
     """
@@ -122,7 +122,7 @@ def train(base: DataFrame, text: str) -> list[float]:
     n_texts, n_values = base.agg(
         F.count(F.lit(1)), F.sum(F.size("_assign") + F.size("_access") + F.size("_hex"))
     ).first()
-    some = base.filter(F.col(text).isNotNull() & chosen(F.col(text), TRAIN_TEXTS, n_texts))
+    some = df.filter(F.col(text).isNotNull() & chosen(F.col(text), TRAIN_TEXTS, n_texts))
     ordinary = some.select(F.explode(F.regexp_extract_all(text, F.lit("[A-Za-z_-]{3,}+"), F.lit(0))).alias("s"))
     caught = base.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("x")).select(
         F.col("x.value").alias("s")
@@ -161,10 +161,11 @@ def scan(df: DataFrame, text: str = "text", id: str | None = None) -> DataFrame:
     empty table stays empty; repeated rows are searched like any others.  Spans of
     the models overlap no span of the plain patterns.  Input columns of these four
     names are replaced.  Calling it runs jobs: the texts are searched for the plain
-    patterns once, and that result is written out, with the texts.
+    patterns once for training and once for the result, so no copy of them is written.
     """
-    base = saved(with_base(df, text), "secrets")
-    model = train(base, text)
+    base = with_base(df, text)
+    with scratch(df.sparkSession):
+        model = train(df, saved(base.select("_assign", "_access", "_hex"), "spans"), text)
     plain = F.concat("_assign", "_access", "_hex")
     judged = F.transform(
         F.filter(

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.operators.ordered import lookup
+from rillwork.operators.ordered import lookup, number_rows
 from rillwork.session import cut_lineage
 
 #: Distinct ranked values up to which they are sent to every executor.
 BROADCAST_ROWS = 250_000
+#: Hexadecimal digits of a hash by which a sample counts rows.
+DIGITS = 4
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -60,28 +62,44 @@ def _draw(identity: Column, seed: int) -> Column:
 
 
 def sample_exact(df: DataFrame, identity: str, n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows without replacement, the same ones for the same seed."""
-    return df.orderBy(_draw(F.col(identity), seed), identity).limit(n)
+    """Exactly ``n`` rows without replacement, the same ones for the same seed.
+
+    They are the rows whose hashes are smallest.  Rows are counted by the first
+    digits of the hash; all rows below the digits in which the n-th row lies are
+    taken where they are, and only the rows with just those digits are put in
+    order.  Nothing gathers n rows.  Calling it runs jobs; ``df`` is read for the
+    counts, for the rows in order, and for the result.
+    """
+    drawn = df.withColumn("_draw", _draw(F.col(identity), seed))
+    digits = F.substring("_draw", 1, DIGITS)
+    counts = drawn.groupBy(digits.alias("_digits")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per value of the digits, 65,536 at most.
+    upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_digits"))).filter(F.col("_upto") >= n)
+    last = upto.orderBy("_digits").select("_digits", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("_open")).first()
+    if last is None:
+        return df
+    edge = number_rows(drawn.filter(digits == last["_digits"]), ["_draw", identity], "_turn")
+    edge = edge.filter(F.col("_turn") <= last["_open"]).select(*drawn.columns)
+    return drawn.filter(digits < last["_digits"]).unionAll(edge).drop("_draw")
 
 
 def sample_with_replacement(df: DataFrame, identity: str, n: int, seed: int) -> DataFrame:
     """Exactly ``n`` rows with replacement, the same ones for the same seed.
 
-    ``n`` places are drawn among all rows.  Places drawn equally often are alike,
-    so the distinct places, in order, take the rows of a sample without
-    replacement, in its random order, and each row comes as often as its place.
+    ``n`` places are drawn among all rows, by hashes of their own.  Places drawn
+    equally often are alike, so the distinct places, in order, take the rows of a
+    sample without replacement, in its random order, and each row comes as often as
+    its place.  An empty table gives an empty sample.  Calling it runs jobs.
     """
     size = df.agg(F.count(F.lit(1)).alias("size")).scalar()
     draws = df.sparkSession.range(n).withColumn(
         "_place",
-        F.conv(F.substring(_draw(F.col("id"), seed), 1, 15), 16, 10).cast("bigint") % size,
-    )
-    # Both windows run over at most n rows, n being the size of the sample asked for.
-    times = draws.groupBy("_place").agg(F.count(F.lit(1)).alias("_times"))
-    times = times.withColumn("_turn", F.row_number().over(Window.orderBy("_place"))).drop("_place")
-    chosen = sample_exact(df, identity, n, seed)
-    chosen = chosen.withColumn(
-        "_turn", F.row_number().over(Window.orderBy(_draw(F.col(identity), seed), identity))
+        F.conv(F.substring(_draw(F.concat(F.lit("place-"), F.col("id")), seed), 1, 15), 16, 10).cast("bigint")
+        % F.nullif(size, F.lit(0)),
     )
+    times = draws.filter(F.col("_place").isNotNull()).groupBy("_place").agg(F.count(F.lit(1)).alias("_times"))
+    times = number_rows(times.withColumnRenamed("_place", "_at"), ["_at"], "_turn").drop("_at")
+    chosen = sample_exact(df, identity, n, seed).withColumn("_draw", _draw(F.col(identity), seed))
+    chosen = number_rows(chosen, ["_draw", identity], "_turn").drop("_draw")
     copies = F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))
     return chosen.join(times, "_turn").withColumn("_copy", copies).drop("_turn", "_times", "_copy")

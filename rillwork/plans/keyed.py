@@ -296,7 +296,7 @@ def sample_without_replacement(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH times AS (SELECT row_number() OVER (ORDER BY place) AS turn, times FROM (
-        SELECT CAST('0x' || substr({DRAW_SQL.format('i')}, 1, 15) AS BIGINT) % (SELECT count(*) FROM orders) AS place,
+        SELECT CAST('0x' || substr({DRAW_SQL.format("'place-', i")}, 1, 15) AS BIGINT) % (SELECT count(*) FROM orders) AS place,
             count(*) AS times FROM range({SAMPLE}) r(i) GROUP BY 1)),
     chosen AS (SELECT *, row_number() OVER (ORDER BY {DRAW_SQL.format('o_orderkey')}, o_orderkey) AS turn
         FROM ({CHOSEN_SQL}))

@@ -237,11 +237,23 @@ def test_samples(spark):
     assert len(once) == len(set(once)) == 20
     assert [r.k for r in ordering.sample_exact(df, "k", 20, 3).collect()] == once
     assert ordering.sample_exact(df, "k", 99, 3).count() == 50
+    assert ordering.sample_exact(df, "k", 0, 3).count() == 0
+    assert ordering.sample_exact(df.limit(0), "k", 5, 3).count() == 0
+    assert ordering.sample_with_replacement(df.limit(0), "k", 5, 3).count() == 0
     for seed in range(5):
         many = [r.k for r in ordering.sample_with_replacement(df, "k", 200, seed).collect()]
         assert len(many) == 200 and set(many) <= set(range(50)) and len(set(many)) > 30
 
 
+def test_a_sample_has_the_smallest_hashes(spark):
+    """Repeated ids share a hash, so the last digits hold more rows than are still wanted."""
+    df = spark.range(3000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    order = [F.md5(F.concat_ws("-", F.col("k").cast("string"), F.lit("9"))), F.col("k")]
+    for n in (1, 75, 1000, 2999):
+        expected = sorted(r.k for r in df.orderBy(*order).limit(n).collect())
+        assert sorted(r.k for r in ordering.sample_exact(df, "k", n, 9).collect()) == expected
+
+
 def test_words_and_lines(spark):
     df = spark.createDataFrame([("a  b\n\nb c ",), ("",)], "t string")
     assert [r[0] for r in df.select(words("t")).collect()] == [["a", "b", "b", "c"], []]

@@ -34,9 +34,8 @@ STEPS = 4
 LEAST_ROWS = 100
 #: Spread that is added to each feature: smaller differences say nothing about a text.
 FLOOR = (0.25, 0.05, 0.10, 0.10, 0.10)
-#: Share of normal rows that may lie beyond the limit, and how much wider the limit is than a normal law's.
+#: Share of normal rows that may lie beyond the limit.
 BEYOND = 1e-6
-WIDER = 3.0
 #: Bins of squared distance per doubling, and lowest bin.
 PER_DOUBLING = 16
 LOWEST = -320
@@ -103,7 +102,7 @@ def chi_squared(p: int, share: float) -> float:
     return p * (1 - 2 / (9 * p) + z * sqrt(2 / (9 * p))) ** 3
 
 
-LIMIT = WIDER * chi_squared(len(FEATURES), 1 - BEYOND)
+LIMIT = chi_squared(len(FEATURES), 1 - BEYOND)
 
 PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 SHAPE = T.StructType(

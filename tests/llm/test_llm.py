@@ -147,6 +147,21 @@ def test_rules_reject_outliers_and_keep_the_rest(spark):
     assert few.filter("kept").count() == 9
 
 
+def test_rules_reject_moderate_outliers_of_one_feature(spark):
+    draw = random.Random(16)
+
+    def words(n):
+        return [draw.choice(WORDS) + str(draw.randrange(99)) for _ in range(n)]
+
+    texts = [" ".join(words(draw.randint(80, 400))) for _ in range(450)]
+    odd = [" ".join("#" * (i % 2) + w for i, w in enumerate(words(180))) for _ in range(3)]
+    odd += ["\n".join(w for w in words(90) for _ in range(2)) for _ in range(3)]
+    odd += [" ".join(3 * phrase + words(90)) for phrase in (words(20) for _ in range(3))]
+    got = {r.doc_id: r for r in quality.rules(documents(spark, texts + odd)).collect()}
+    assert all(got[i].kept for i in range(450))
+    assert not any(got[i].base_failed or got[i].kept for i in range(450, 459))
+
+
 # --- texts -------------------------------------------------------------------
 
 

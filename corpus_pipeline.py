@@ -15,6 +15,9 @@ from rillwork.llm.mixing import mix
 from rillwork.llm.quality import keep_good
 from rillwork.llm.secrets import mask
 
+#: Words of a shingle in near dedup; the two words of ``op5_minhash_dedup`` are that query's own.
+SHINGLE = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the plain limits or are outliers of their language and source."""
@@ -22,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return keep_first(docs)
+    """Keep one document of each group of near copies, by shingles of five words."""
+    return keep_first(docs, size=SHINGLE)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

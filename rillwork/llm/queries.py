@@ -42,7 +42,7 @@ def op4_quality_rules(t: Tables) -> DataFrame:
 
 
 def op5_minhash_dedup(t: Tables) -> DataFrame:
-    return minhash.near_texts(t.documents)
+    return minhash.near_texts(t.documents, size=2)
 
 
 def op6_secret_scans(t: Tables) -> DataFrame:

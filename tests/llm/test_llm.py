@@ -452,3 +452,13 @@ def test_pipeline_stages(spark, library):
         assert r.ids == library.encode(texts[r.doc_id], add_eos=True)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(r.ids).encode()).hexdigest()
+
+
+def test_near_dedup_stage_takes_five_words(spark):
+    import corpus_pipeline
+
+    texts = near_copies(random.Random(17), 20, 6)
+    two, five = (set(brute_texts(texts, size=n)[1]) for n in (2, 5))
+    assert two < five
+    kept = corpus_pipeline.near_dedup(spark, documents(spark, texts), "")
+    assert {r.doc_id for r in kept.collect()} == five

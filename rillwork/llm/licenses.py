@@ -11,8 +11,10 @@ and in no number, is confirmed.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from math import ceil
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -88,7 +90,7 @@ TEMPLATES = (
 GATE = re.compile(r"licen[sc]|copyright|warrant|permission|redistribut|rights\s+reserved", re.I)
 UNIT = re.compile(r"[^\n]*?(?:[.;:](?=\s)|\n|\Z)")
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: Share of a unit's words that must be the templates', words of a block, templates that are compared word by word.
+#: Share of a unit's words that must be the templates', words of a stretch at least, templates that are compared word by word.
 LEAST_KNOWN = 0.6
 BLOCK_WORDS = 400
 RANKED = 4
@@ -112,6 +114,8 @@ class Templates:
     def __init__(self, templates):
         self.named = [(name, [t for t, _, _ in terms(text)]) for name, text in templates]
         self.vocabulary = {w for _, ws in self.named for w in ws}
+        #: Words of the longest notice that can be confirmed; stretches overlap by as many.
+        self.longest = ceil(max((len(ws) for _, ws in self.named), default=0) * (1 + MOST_ADDED))
         options = zstandard.ZstdCompressionParameters.from_level(
             LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
         )
@@ -148,8 +152,8 @@ class Templates:
             return None
         return first, end, [f"-{w}" for w in missing] + [f"+{w}" for w in added]
 
-    def blocks(self, text: str):
-        """Candidate blocks as lists of (word, start, end)."""
+    def blocks(self, text: str) -> Iterator[list]:
+        """Candidate blocks, whole runs of units, as lists of (word, start, end)."""
         run: list = []
         gate = False
         for m in UNIT.finditer(text):
@@ -160,7 +164,7 @@ class Templates:
                 continue
             known = sum(w in self.vocabulary for w, _, _ in unit)
             fits = bool(unit) and known >= LEAST_KNOWN * len(unit)
-            if run and (not fits or len(run) + len(unit) > BLOCK_WORDS):
+            if run and not fits:
                 if gate:
                     yield run
                 run, gate = [], False
@@ -176,23 +180,36 @@ class Templates:
         if not GATE.search(text):
             return out
         for block in self.blocks(text):
-            rest = [block]
-            # A block may hold several notices: what is left on both sides is searched again.
-            while rest:
-                words = rest.pop()
-                if len(words) < 2:
-                    continue
-                plain = [w for w, _, _ in words]
-                ranked = [x for x in self.ranking(plain) if x[0] >= LEAST_REDUCTION][:RANKED]
-                for reduction, i in ranked:
-                    hit = self.difference(plain, i)
-                    if hit:
-                        first, end, changes = hit
-                        out.append((words[first][1], words[end - 1][2], self.named[i][0], reduction, changes))
-                        rest += [words[:first], words[end:]]
-                        break
+            first, size = 0, max(BLOCK_WORDS, 2 * self.longest)
+            while first < len(block):
+                last = first + size >= len(block)
+                # What begins in the overlap is left to the next stretch, which holds it whole.
+                border = len(block) if last else first + size - self.longest
+                hits = [h for h in self.notices(block, first, min(first + size, len(block))) if h[0] < border]
+                out += [(block[a][1], block[b - 1][2], *rest) for a, b, *rest in hits]
+                first = max([border, *[b for _, b, *_ in hits]])
         return sorted(out, key=lambda x: x[:3])
 
+    def notices(self, block: list, first: int, end: int) -> list:
+        """(first, end, license, reduction, differences) of the notices in a stretch of a block, in words."""
+        out = []
+        rest = [(first, end)]
+        # A stretch may hold several notices: what is left on both sides is searched again.
+        while rest:
+            first, end = rest.pop()
+            if end - first < 2:
+                continue
+            plain = [w for w, _, _ in block[first:end]]
+            ranked = [x for x in self.ranking(plain) if x[0] >= LEAST_REDUCTION][:RANKED]
+            for reduction, i in ranked:
+                hit = self.difference(plain, i)
+                if hit:
+                    a, b, changes = hit
+                    out.append((first + a, first + b, self.named[i][0], reduction, changes))
+                    rest += [(first, first + a), (first + b, end)]
+                    break
+        return out
+
 
 @lru_cache(maxsize=2)
 def prepared(templates) -> Templates:
@@ -215,8 +232,8 @@ FOUND = T.ArrayType(
 def scan(df: DataFrame, text: str = "text", templates=TEMPLATES, keep_text: bool = True) -> DataFrame:
     """Add ``notices``: (start, end, license, reduction, differences) per confirmed notice.
 
-    Places are code points, end exclusive.  Whole texts are searched; blocks of
-    license-like sentences are compared in stretches of ``BLOCK_WORDS`` words.  Null
+    Places are code points, end exclusive.  Whole texts are searched; long blocks
+    of license-like sentences in stretches that overlap by the longest notice.  Null
     and empty texts have no notice, repeated rows are searched like others, an
     empty table stays empty, and an input column ``notices`` is replaced.
     """

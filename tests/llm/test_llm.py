@@ -326,6 +326,21 @@ def test_archives(spark, tmp_path, monkeypatch):
 # --- licenses ----------------------------------------------------------------
 
 
+def long_notices(*names):
+    return [max((t for n, t in licenses.TEMPLATES if n == name), key=len) for name in names]
+
+
+def test_license_notices_one_after_the_other():
+    names = ["MIT", "Apache-2.0", "GPL-3.0", "BSD-3-Clause", "MPL-2.0"]
+    known = licenses.prepared(licenses.TEMPLATES)
+    for order in (names, names[::-1], names * 3, names[2:] + names):
+        texts = long_notices(*order)
+        found = known.find(" ".join(texts))
+        assert [f[2] for f in found] == order and not any(f[4] for f in found)
+        starts = [sum(len(t) + 1 for t in texts[:i]) for i in range(len(texts))]
+        assert [f[0] for f in found] == starts
+
+
 def test_licenses(spark):
     notice = "Permission is hereby granted, free of charge, to any person"
     mit = next(t for n, t in licenses.TEMPLATES if t.startswith(notice))

@@ -1,21 +1,22 @@
 """License notices by conditional compression.
 
 A text is cut into sentences and lines; runs of them that use the templates'
-vocabulary and hold a word of licensing are candidate blocks.  Each block is
-compressed with Zstandard alone and with every template as a raw-content
-dictionary; templates are ranked by how much they shrink it.  In that order the
-best few are compared word by word, and the first whose wording differs little,
-and in no number, is confirmed.
+vocabulary and hold a word of licensing are candidate blocks.  Every template whose
+words a block may hold is aligned with it, and a place whose wording differs little,
+and in no number, is a candidate.  The words of each candidate are compressed with
+Zstandard alone and with the template as a raw-content dictionary; the one that
+saves most bytes is confirmed, and what is left on both sides is searched again.
+No template is left out for saving little.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from functools import lru_cache
 from math import ceil
 
+import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,15 +91,15 @@ TEMPLATES = (
 GATE = re.compile(r"licen[sc]|copyright|warrant|permission|redistribut|rights\s+reserved", re.I)
 UNIT = re.compile(r"[^\n]*?(?:[.;:](?=\s)|\n|\Z)")
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: Share of a unit's words that must be the templates', words of a stretch at least, templates that are compared word by word.
+#: Share of a unit's words that must be the templates', and words of a stretch at least.
 LEAST_KNOWN = 0.6
 BLOCK_WORDS = 400
-RANKED = 4
 #: Share of a template's words that must be found, and share that may be added in between.
 LEAST_FOUND = 0.8
 MOST_ADDED = 0.25
-LEAST_REDUCTION = 0.1
 LEVEL = 3
+#: Stands for an alignment that is not allowed.
+NEVER = -(1 << 20)
 
 
 def terms(text: str) -> list[tuple[str, int, int]]:
@@ -114,6 +115,10 @@ class Templates:
     def __init__(self, templates):
         self.named = [(name, [t for t, _, _ in terms(text)]) for name, text in templates]
         self.vocabulary = {w for _, ws in self.named for w in ws}
+        self.code = {w: i for i, w in enumerate(sorted(self.vocabulary))}
+        self.coded = [np.array([self.code[w] for w in ws], dtype=np.int32) for _, ws in self.named]
+        self.counts = np.array([np.bincount(c, minlength=len(self.code)) for c in self.coded])
+        self.least = np.array([LEAST_FOUND * len(c) for c in self.coded])
         #: Words of the longest notice that can be confirmed; stretches overlap by as many.
         self.longest = ceil(max((len(ws) for _, ws in self.named), default=0) * (1 + MOST_ADDED))
         options = zstandard.ZstdCompressionParameters.from_level(
@@ -128,29 +133,48 @@ class Templates:
             for _, ws in self.named
         ]
 
-    def ranking(self, words: list[str]) -> list[tuple[float, int]]:
-        """(reduction, template), best first; of equal reductions the shorter template."""
+    def saved(self, words: list[str], template: int) -> tuple[int, float]:
+        """Bytes and share that a template takes off the compressed words."""
         data = " ".join(words).encode()
         alone = len(self.plain.compress(data))
-        sizes = [(1 - len(c.compress(data)) / alone, i) for i, c in enumerate(self.given)]
-        return sorted(sizes, key=lambda x: (-x[0], len(self.named[x[1]][1]), x[1]))
+        less = alone - len(self.given[template].compress(data))
+        return less, less / alone
 
-    def difference(self, words: list[str], template: int):
-        """(first, end, differences) of the words that stand for the template, or None."""
-        wanted = self.named[template][1]
-        parts = [o for o in SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()]
-        same = [o for o in parts if o[0] == "equal"]
-        if not same:
-            return None
-        first, end = same[0][3], same[-1][4]
-        matched = sum(o[2] - o[1] for o in same)
-        missing = [w for o in parts if o[0] in ("delete", "replace") for w in wanted[o[1] : o[2]]]
-        added = [w for o in parts if o[0] in ("insert", "replace") for w in words[max(o[3], first) : min(o[4], end)]]
-        if matched < LEAST_FOUND * len(wanted) or len(added) > MOST_ADDED * len(wanted):
-            return None
-        if any(w[0].isdigit() for w in missing):
-            return None
-        return first, end, [f"-{w}" for w in missing] + [f"+{w}" for w in added]
+    def possible(self, coded: np.ndarray) -> list[int]:
+        """Templates of whose words enough occur, in whatever order."""
+        there = np.bincount(coded[coded >= 0], minlength=len(self.code))
+        return np.flatnonzero(np.minimum(self.counts, there).sum(axis=1) >= self.least - 1e-9).tolist()
+
+    def difference(self, words: list[str], coded: np.ndarray, template: int):
+        """(first, end, differences) of the words that stand for the template, or None.
+
+        Of the alignments with any stretch of the words the one with most words found
+        less words added wins; numbers must be found.
+        """
+        wanted, ids = self.named[template][1], self.coded[template]
+        n = len(ids)
+        place = np.arange(len(words) + 1, dtype=np.int32)
+        score = np.zeros((n + 1, len(words) + 1), dtype=np.int32)
+        for i in range(n):
+            row = np.full(len(words) + 1, NEVER, dtype=np.int32) if wanted[i][0].isdigit() else score[i].copy()
+            found = np.flatnonzero(coded == ids[i])
+            row[found + 1] = np.maximum(row[found + 1], score[i][found] + 1)
+            score[i + 1] = np.maximum.accumulate(row + place) - place
+        ends = np.flatnonzero(score[n] >= (LEAST_FOUND - MOST_ADDED) * n - 1e-9)
+        for end in ends[np.argsort(-score[n][ends], kind="stable")].tolist():
+            i, j, missing, added = n, end, [], []
+            while i:
+                if j and coded[j - 1] == ids[i - 1] and score[i, j] == score[i - 1, j - 1] + 1:
+                    i, j = i - 1, j - 1
+                elif not wanted[i - 1][0].isdigit() and score[i, j] == score[i - 1, j]:
+                    i -= 1
+                    missing.append(wanted[i])
+                else:
+                    j -= 1
+                    added.append(words[j])
+            if n - len(missing) >= LEAST_FOUND * n - 1e-9 and len(added) <= MOST_ADDED * n:
+                return j, end, [f"-{w}" for w in missing[::-1]] + [f"+{w}" for w in added[::-1]]
+        return None
 
     def blocks(self, text: str) -> Iterator[list]:
         """Candidate blocks, whole runs of units, as lists of (word, start, end)."""
@@ -200,14 +224,16 @@ class Templates:
             if end - first < 2:
                 continue
             plain = [w for w, _, _ in block[first:end]]
-            ranked = [x for x in self.ranking(plain) if x[0] >= LEAST_REDUCTION][:RANKED]
-            for reduction, i in ranked:
-                hit = self.difference(plain, i)
-                if hit:
-                    a, b, changes = hit
-                    out.append((first + a, first + b, self.named[i][0], reduction, changes))
-                    rest += [(first, first + a), (first + b, end)]
-                    break
+            coded = np.array([self.code.get(w, -1) for w in plain], dtype=np.int32)
+            ranked = []
+            for i in self.possible(coded):
+                if hit := self.difference(plain, coded, i):
+                    less, share = self.saved(plain[hit[0] : hit[1]], i)
+                    ranked.append(((-less, len(hit[2]), len(self.named[i][1]), i), share, hit))
+            if ranked:
+                (*_, i), reduction, (a, b, changes) = min(ranked)
+                out.append((first + a, first + b, self.named[i][0], reduction, changes))
+                rest += [(first, first + a), (first + b, end)]
         return out
 
 

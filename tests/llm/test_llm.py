@@ -341,6 +341,22 @@ def test_license_notices_one_after_the_other():
         assert [f[0] for f in found] == starts
 
 
+def test_license_statements_in_longer_passages():
+    known = licenses.prepared(licenses.TEMPLATES)
+    around = (
+        "The software is provided to you without warranty of any kind, and the copyright holder gives no other "
+        "permission. Any person obtaining a copy of the software may use the documentation with it, subject to the "
+        "conditions above and the terms of this notice. The above conditions apply to all copies of the source code. "
+    )
+    for template in dict.fromkeys(licenses.TEMPLATES):
+        for before, after in ((0, 1), (1, 1), (3, 4), (9, 9)):
+            text = around * before + template[1] + " " + around * after
+            found = known.find(text)
+            assert [f[2] for f in found] == [template[0]] and not found[0][4], (template, before, after)
+            assert text[found[0][0] : found[0][1]] == template[1].rstrip("./")
+    assert known.find(around * 5) == []
+
+
 def test_licenses(spark):
     notice = "Permission is hereby granted, free of charge, to any person"
     mit = next(t for n, t in licenses.TEMPLATES if t.startswith(notice))

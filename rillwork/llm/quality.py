@@ -88,11 +88,11 @@ def features(prefix: str = "") -> list[Column]:
     ]
 
 
-def group_key(lang: str, source: str) -> Column:
-    """Language and source as one key; null is a value of its own."""
+def group_key(*columns: str) -> Column:
+    """Language and source, or language alone, as one key; null is a value of its own."""
     return F.concat_ws(
         "\x01",
-        *[F.when(F.col(c).isNull(), F.lit("\x02")).otherwise(F.col(c).cast("string")) for c in (lang, source)],
+        *[F.when(F.col(c).isNull(), F.lit("\x02")).otherwise(F.col(c).cast("string")) for c in columns],
     )
 
 
@@ -224,8 +224,8 @@ def judged(
 
     ``counts`` is the same table, written out already, with at least the counts,
     language and source; ``df`` itself unless given.  Estimates come from the texts that pass the plain limits, per language and
-    source; groups with fewer than ``LEAST_ROWS`` of them share one estimate, and if
-    even that is smaller, its texts are all kept.  Null language and null source
+    source; a group with fewer than ``LEAST_ROWS`` of them is judged by all texts of its
+    language, or if those are too few by all texts, and if even those are, all are kept.  Null language and null source
     are values like others.  Texts that fail the plain limits are never kept.
     """
 
@@ -236,16 +236,21 @@ def judged(
 
     keyed = with_features(df)
     passing = with_features(df if counts is None else counts).filter(~failed(prefix)).select(
-        F.col("_grp").alias("own"), *[F.col(f"_{f}").alias(f) for f in FEATURES]
+        F.col("_grp").alias("own"), group_key(lang).alias("tongue"), *[F.col(f"_{f}").alias(f) for f in FEATURES]
     )
     with scratch(df.sparkSession):
-        sizes = saved(passing.groupBy("own").agg(F.count(F.lit(1)).alias("n")), "groups")
-        small = F.when(F.col("n") < LEAST_ROWS, F.lit("")).otherwise(F.col("own"))
-        groups = sizes.select("own", small.alias("grp"))
-        rows = passing.join(groups, "own").drop("own")
-        totals = sizes.select(small.alias("grp"), "n").groupBy("grp").agg(F.sum("n").alias("n"))
-        used = totals.filter(F.col("n") >= LEAST_ROWS).select("grp")
-        rows = saved(rows.join(used, "grp", "left_semi"), "features")
+        sizes = saved(passing.groupBy("own", "tongue").agg(F.count(F.lit(1)).alias("n")), "groups")
+        tongues = saved(sizes.groupBy("tongue").agg(F.sum("n").alias("m")), "tongues")
+        all_ = tongues.agg(F.sum("m")).first()[0] or 0
+        levels = F.array(F.concat(F.lit("own "), "own"), F.concat(F.lit("lang "), "tongue"), F.lit("all"))
+        level = F.when(F.col("n") >= LEAST_ROWS, levels[0]).when(F.col("m") >= LEAST_ROWS, levels[1])
+        groups = sizes.join(tongues, "tongue").select("own", "tongue", level.otherwise(levels[2]).alias("grp"))
+        groups = saved(groups.filter(F.lit(all_ >= LEAST_ROWS)), "levels")
+        # A group's rows count in every estimate that some group is judged by.
+        used = groups.select("grp").distinct()
+        feeds = groups.select("own", F.explode(levels).alias("grp")).join(used, "grp", "left_semi")
+        rows = saved(passing.drop("tongue").join(feeds, "own").drop("own"), "features")
+        groups = groups.select("own", "grp")
         found = estimates(rows)
         by_own = saved(groups.join(found, "grp").drop("grp"), "verdicts", outlives=True)
     marked = keyed.withColumnsRenamed({f"_{f}": f"_f_{f}" for f in FEATURES})

@@ -162,6 +162,19 @@ def test_rules_reject_moderate_outliers_of_one_feature(spark):
     assert not any(got[i].base_failed or got[i].kept for i in range(450, 459))
 
 
+def test_small_groups_are_judged_by_their_language(spark):
+    draw = random.Random(26)
+
+    def text(length):
+        return " ".join("".join(draw.choices("abdefgiklmnoprstu", k=length)) for _ in range(draw.randint(80, 200)))
+
+    rows = [(i, text(4), "xx", f"s{i % 2}", 0) for i in range(120)]
+    rows += [(200 + i, text(12), "yy", f"s{i % 2}", 0) for i in range(180)]
+    rows += [(500 + i, text(12), "xx", "s0", 0) for i in range(2)] + [(600, text(4), None, None, 0)]
+    got = {r.doc_id: r.kept for r in quality.rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i in got if not got[i]] == [500, 501] and len(got) == len(rows)
+
+
 # --- texts -------------------------------------------------------------------
 
 

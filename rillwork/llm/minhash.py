@@ -15,7 +15,7 @@ copies never meet in all pairs, yet no candidate link between components is left
 out: texts that meet a large component are compared with its members in blocks, on
 the full sets at once; the others in pairs.  A pair is verified on the full sets if
 the sizes allow a link and the collision-corrected estimate is not far below the
-limit.
+limit; at a similarity of 0.8 it is too far below with a probability of 1.4e-6.
 """
 
 from __future__ import annotations

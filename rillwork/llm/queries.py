@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillwork.llm import embeddings, licenses, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc
+from rillwork.llm import (
+    embeddings, extendible, licenses, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc,
+)
 from rillwork.plans.registry import Query, Tables
 from rillwork.session import shared_path
 
@@ -68,6 +70,10 @@ def op10_source_mixing(t: Tables) -> DataFrame:
     return mixing.mixed(t.documents)
 
 
+def op13_exact_dedup(t: Tables) -> DataFrame:
+    return extendible.groups(t.documents)
+
+
 REACHED = """
 reached(id, other) AS (
   SELECT a, b FROM links
@@ -135,6 +141,14 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM firsts
+""",
+    "op13_exact_dedup": """
+WITH plain AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g') AS s FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(s) AS text_sha256
+FROM plain WINDOW same AS (PARTITION BY s)
 """,
 }
 
@@ -143,7 +157,7 @@ def llm_queries() -> dict[str, Query]:
     """Every query of this subpackage, by name."""
     found: list[Callable[[Tables], DataFrame]] = [
         op1_toxicity, op2_sentencepiece, op3_embedding_dedup, op4_quality_rules, op5_minhash_dedup,
-        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing,
+        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing, op13_exact_dedup,
     ]
     return {f.__name__: Query(f, SQL.get(f.__name__)) for f in found}
 

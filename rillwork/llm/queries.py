@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillwork.llm import (
-    embeddings, extendible, licenses, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc,
+    divergence, embeddings, extendible, licenses, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc,
 )
 from rillwork.plans.registry import Query, Tables
 from rillwork.session import shared_path
@@ -70,6 +70,10 @@ def op10_source_mixing(t: Tables) -> DataFrame:
     return mixing.mixed(t.documents)
 
 
+def op12_source_divergence(t: Tables) -> DataFrame:
+    return divergence.audit(t.documents)
+
+
 def op13_exact_dedup(t: Tables) -> DataFrame:
     return extendible.groups(t.documents)
 
@@ -141,6 +145,43 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM firsts
+""",
+    "op12_source_divergence": """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+),
+flat AS (SELECT row, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM flat GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT f.lang, f.source, f.term, count(*) AS n FROM flat f JOIN kept k USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM found GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+    1 + 1000000000 * (coalesce(f.n, 0) + 2)::HUGEINT // (coalesce(t.total, 0) + 2 * l.v)::HUGEINT AS p,
+    1 + 1000000000 * (k.n + 2)::HUGEINT // (l.total + 2 * l.v)::HUGEINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN totals t USING (lang, source) LEFT JOIN found f USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
     "op13_exact_dedup": """
 WITH plain AS (
@@ -157,7 +198,7 @@ def llm_queries() -> dict[str, Query]:
     """Every query of this subpackage, by name."""
     found: list[Callable[[Tables], DataFrame]] = [
         op1_toxicity, op2_sentencepiece, op3_embedding_dedup, op4_quality_rules, op5_minhash_dedup,
-        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing, op13_exact_dedup,
+        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing, op12_source_divergence, op13_exact_dedup,
     ]
     return {f.__name__: Query(f, SQL.get(f.__name__)) for f in found}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillwork.llm import (
-    divergence, embeddings, extendible, licenses, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc,
+    divergence, embeddings, extendible, licenses, merkle, minhash, mixing, quality, secrets, sentencepieces, sharding, toxicity, warc,
 )
 from rillwork.plans.registry import Query, Tables
 from rillwork.session import shared_path
@@ -70,6 +70,11 @@ def op10_source_mixing(t: Tables) -> DataFrame:
     return mixing.mixed(t.documents)
 
 
+def op11_merkle_manifest(t: Tables) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.verify(t.documents, {"n_chars": F.col("n_chars") + 1}, tampered)
+
+
 def op12_source_divergence(t: Tables) -> DataFrame:
     return divergence.audit(t.documents)
 
@@ -78,6 +83,55 @@ def op13_exact_dedup(t: Tables) -> DataFrame:
     return extendible.groups(t.documents)
 
 
+def _merkle_sql(levels: int = 24, top_levels: int = 10) -> str:
+    """Level by level, for up to 2 ** levels documents of a language and 2 ** top_levels languages."""
+
+    def leaf(n_chars: str) -> str:
+        parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+        return f"sha256({' || '.join(parts)})"
+
+    def tree(name: str, key: str, depth: int) -> list[str]:
+        return [
+            f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT {key}, pos // 2 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE any_value(d) END AS d,
+    (any_value(n) + 1) // 2 AS n FROM {name}{k} GROUP BY {key}, pos // 2)"""
+            for k in range(depth)
+        ]
+
+    def paths(name: str, nodes: str, key: str, depth: int) -> list[str]:
+        return [
+            f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT p.* REPLACE (p.pos // 2 AS pos, p.proof || coalesce(s.d, '') AS proof, (p.n + 1) // 2 AS n,
+    CASE WHEN p.n = 1 THEN p.folded WHEN s.d IS NULL THEN sha256(p.folded) WHEN p.pos % 2 = 0 THEN sha256(p.folded || s.d)
+      ELSE sha256(s.d || p.folded) END AS folded)
+  FROM {name}{k} p LEFT JOIN {nodes}{k} s ON s.{key} = p.{key} AND s.pos = xor(p.pos, 1))"""
+            for k in range(depth)
+        ]
+
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+    steps = [
+        f"""docs AS MATERIALIZED (
+  SELECT doc_id, {leaf("n_chars")} AS leaf, {leaf("n_chars + 1")} AS altered, {crc} % 7 = 0 AS tampered,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos FROM documents)""",
+        "a0 AS (SELECT tree, pos, leaf AS d, n FROM docs)",
+        *tree("a", "tree", levels),
+        f"b0 AS (SELECT 0 AS one, tree AS pos, d, count(*) OVER () AS n FROM a{levels})",
+        *tree("b", "one", top_levels),
+        """p0 AS (SELECT doc_id, leaf, tree, pos, n, '' AS proof,
+    CASE WHEN coalesce(tampered, false) THEN altered ELSE leaf END AS folded FROM docs)""",
+        *paths("p", "a", "tree", levels),
+        f"""q0 AS (SELECT p.doc_id, p.leaf, s.d AS subroot, 0 AS one, b.pos, b.n, p.proof, p.folded
+  FROM p{levels} p JOIN a{levels} s USING (tree) JOIN b0 b ON b.pos = p.tree)""",
+        *paths("q", "b", "one", top_levels),
+    ]
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.d AS verified
+FROM q{top_levels}, b{top_levels} r"""
+
+
 REACHED = """
 reached(id, other) AS (
   SELECT a, b FROM links
@@ -146,6 +200,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM firsts
 """,
+    "op11_merkle_manifest": _merkle_sql(),
     "op12_source_divergence": """
 WITH docs AS (
   SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -198,7 +253,7 @@ def llm_queries() -> dict[str, Query]:
     """Every query of this subpackage, by name."""
     found: list[Callable[[Tables], DataFrame]] = [
         op1_toxicity, op2_sentencepiece, op3_embedding_dedup, op4_quality_rules, op5_minhash_dedup,
-        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing, op12_source_divergence, op13_exact_dedup,
+        op6_secret_scans, op7_sharding, op8_warc, op9_license_scans, op10_source_mixing, op11_merkle_manifest, op12_source_divergence, op13_exact_dedup,
     ]
     return {f.__name__: Query(f, SQL.get(f.__name__)) for f in found}
 

@@ -56,7 +56,7 @@ def postings(docs: DataFrame, bits: int, split: set[int], only: set[int] | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, tuple[Counter, Counter]] = {}
-        seen: set[int] = set()
+        seen: dict[int, bytes] = {}
 
         def rows():
             for (lang, source), (n, n_docs) in counts.items():
@@ -67,8 +67,8 @@ def postings(docs: DataFrame, bits: int, split: set[int], only: set[int] | None
                             break
                         before.append(digest)
                     if only is None or only.intersection(before):
-                        yield lang, source, digest, found, n_docs[term], None if digest in seen else term
-                        seen.add(digest)
+                        yield lang, source, digest, found, n_docs[term], None if seen.get(digest) == term else term
+                        seen[digest] = term
 
         def written() -> Iterator[pa.RecordBatch]:
             columns = list(zip(*rows())) or [[]] * 6

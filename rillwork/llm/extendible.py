@@ -20,9 +20,8 @@ from __future__ import annotations
 from math import ceil, log2
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rillwork.llm.common import saved, scratch
 
@@ -57,6 +56,11 @@ def normalised(text: Column) -> Column:
     return F.coalesce(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), F.lit(""))
 
 
+def hashed(text: Column) -> Column:
+    """The key of a text."""
+    return F.xxhash64(text)
+
+
 def slot(key: Column, bits: int) -> Column:
     """The first bits of a key as a number."""
     return F.shiftrightunsigned(key, 64 - bits)
@@ -103,7 +107,7 @@ def build(
     get every text once.
     """
     shown = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"))
-    shown = shown.withColumn("key", F.xxhash64("text"))
+    shown = shown.withColumn("key", hashed(F.col("text")))
     rows = saved(
         shown.select("id", "key", F.octet_length("text").cast("bigint").alias("n_bytes"),
                      F.unhex(F.sha2("text", 256)).alias("digest")),

@@ -41,7 +41,7 @@ Place = tuple[int, int, int]
 class Manifest(NamedTuple):
     """``leaves``: id, leaf, altered, tree, n, pos.  ``nodes``: tree, level, idx, digest, for levels from the blocks' roots up.
 
-    ``wanted`` has the places that each block (tree, block) is missing.
+    ``wanted`` has the places that each block (tree, block) of 2 ** ``bits`` leaves is missing.
     """
 
     leaves: DataFrame
@@ -49,6 +49,7 @@ class Manifest(NamedTuple):
     wanted: DataFrame
     n_trees: int
     root: str
+    bits: int
 
 
 def digest(*parts: bytes) -> bytes:
@@ -125,17 +126,17 @@ def numbered(leaves: DataFrame) -> DataFrame:
 NODES = "tree bigint, n bigint, level int, idx bigint, digest binary"
 
 
-def grown(nodes: DataFrame, level: int) -> DataFrame:
-    """The next BITS levels above nodes of one level, as far as the trees are not at their roots."""
+def grown(nodes: DataFrame, level: int, bits: int) -> DataFrame:
+    """The next ``bits`` levels above nodes of one level, as far as the trees are not at their roots."""
 
     def run(group: pa.Table) -> pa.Table:
         tree, n = group.column("tree")[0].as_py(), group.column("n")[0].as_py()
         given = dict(zip(group.column("idx").to_pylist(), group.column("digest").to_pylist()))
-        levels = above(given, n, level, min(level + BITS, height(n)))
+        levels = above(given, n, level, min(level + bits, height(n)))
         made = [(tree, n, level + k, i, d) for k, row in enumerate(levels) if k for i, d in row.items()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), KINDS)], schema=NODE_SCHEMA)
 
-    higher = nodes.filter(F.col("n") > (1 << level)).withColumn("_part", F.shiftright("idx", BITS))
+    higher = nodes.filter(F.col("n") > (1 << level)).withColumn("_part", F.shiftright("idx", bits))
     return higher.groupBy("tree", "_part").applyInArrow(run, NODES)
 
 
@@ -143,20 +144,20 @@ KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 NODE_SCHEMA = pa.schema(list(zip(["tree", "n", "level", "idx", "digest"], KINDS)))
 
 
-def tree_nodes(nodes: DataFrame, level: int, most: int) -> DataFrame:
+def tree_nodes(nodes: DataFrame, level: int, most: int, bits: int) -> DataFrame:
     """All nodes from those of a level up to the roots; ``most`` leaves has the largest tree."""
     found = nodes
     while most > (1 << level):
-        step = saved(grown(nodes, level), "manifest-nodes")
+        step = saved(grown(nodes, level, bits), "manifest-nodes")
         found = found.unionByName(step)
-        level += BITS
+        level += bits
         nodes = step.filter(F.col("level") == level)
     return found
 
 
 def build(
     docs: DataFrame, columns: Sequence[str], tree_col: str, id_col: str, altered: Mapping[str, Column] | None = None,
-    where: Column | None = None,
+    where: Column | None = None, bits: int = BITS,
 ) -> Manifest:
     """Digests of all rows and of all nodes above the blocks.  Calling it runs jobs.
 
@@ -177,8 +178,8 @@ def build(
         """The block's root, and the places that it is missing, without a digest."""
         tree, n, pos = group.column("tree")[0].as_py(), group.column("n")[0].as_py(), group.column("pos").to_pylist()
         given = {p: d.hex().encode() for p, d in zip(pos, group.column("leaf").to_pylist())}
-        level = min(BITS, height(n))
-        here, number = above(given, n, 0, level)[level], pos[0] >> BITS
+        level = min(bits, height(n))
+        here, number = above(given, n, 0, level)[level], pos[0] >> bits
         made = [(tree, n, number, tree, level, i, d) for i, d in here.items()]
         places = missing(tree, n, pos) + missing(TOP_TREE, n_trees, [tree])
         made += [(tree, n, number, *place, None) for place in places]
@@ -186,28 +187,28 @@ def build(
         names = ["tree", "n", "block", "want", "level", "idx", "digest"]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), kinds)], names=names)
 
-    blocks = leaves.select("tree", "n", "pos", "leaf", F.shiftright("pos", BITS).alias("block"))
+    blocks = leaves.select("tree", "n", "pos", "leaf", F.shiftright("pos", bits).alias("block"))
     schema = "tree bigint, n bigint, block bigint, want bigint, level int, idx bigint, digest binary"
     found = saved(blocks.groupBy("tree", "block").applyInArrow(block, schema), "manifest-blocks")
     roots = found.filter(F.col("digest").isNotNull()).select("tree", "n", "level", "idx", "digest")
-    nodes = tree_nodes(roots, BITS, most)
+    nodes = tree_nodes(roots, bits, most, bits)
     # A tree's root is its only node without a sibling at the level of its height.
     subroots = nodes.filter("idx = 0 AND shiftleft(1L, level) >= n").select(
         F.lit(TOP_TREE).cast("bigint").alias("tree"), F.lit(n_trees).cast("bigint").alias("n"), F.lit(0).alias("level"),
         F.col("tree").alias("idx"), "digest",
     )
-    top = saved(tree_nodes(saved(subroots, "manifest-subroots"), 0, n_trees), "manifest-top")
+    top = saved(tree_nodes(saved(subroots, "manifest-subroots"), 0, n_trees, bits), "manifest-top")
     last = top.orderBy(F.desc("level")).first()
     wanted = found.filter(F.col("digest").isNull()).select("tree", "block", "want", "level", "idx")
-    return Manifest(leaves, nodes.unionByName(top).drop("n"), wanted, n_trees, last.digest.decode() if last else "")
+    return Manifest(leaves, nodes.unionByName(top).drop("n"), wanted, n_trees, last.digest.decode() if last else "", bits)
 
 
-def fetched(manifest: Manifest) -> DataFrame:
+def fetched(manifest: Manifest, top_nodes: int = TOP_NODES) -> DataFrame:
     """The missing nodes of each block as one list; the uppermost go to every executor, the others are joined."""
     nodes = manifest.nodes.withColumnRenamed("tree", "want")
     upper = F.col("want") == TOP_TREE
     sizes = {r[0]: r[1] for r in nodes.groupBy(F.when(~upper, F.col("level"))).count().collect()}
-    room, cut = TOP_NODES - sizes.pop(None, 0), None
+    room, cut = top_nodes - sizes.pop(None, 0), None
     for level in sorted(sizes, reverse=True):
         room -= sizes[level]
         if room < 0:
@@ -236,9 +237,9 @@ def fold(node: bytes, path: Iterable[tuple[int, bytes | None]]) -> bytes:
     return node
 
 
-def proofs(manifest: Manifest, id_type: T.DataType) -> DataFrame:
+def proofs(manifest: Manifest, id_type: T.DataType, top_nodes: int = TOP_NODES) -> DataFrame:
     """Per leaf: id, leaf, subroot, root, proof digest, root folded from the altered or original leaf, verdict."""
-    n_trees, root = manifest.n_trees, manifest.root.encode()
+    n_trees, root, bits = manifest.n_trees, manifest.root.encode(), manifest.bits
 
     def shared(known: Mapping[Place, bytes], tree: int, n: int, idx: int, level: int) -> list[tuple[int, bytes | None]]:
         steps = range(level, height(n))
@@ -251,7 +252,7 @@ def proofs(manifest: Manifest, id_type: T.DataType) -> DataFrame:
         second = [d.hex().encode() if d else a for a, d in zip(leaves, rows.column("altered").to_pylist())]
         lists = others.column("nodes").to_pylist()
         known = {(v["want"], v["level"], v["idx"]): v["digest"] for v in (lists[0] if lists else [])}
-        level = min(BITS, height(n))
+        level = min(bits, height(n))
         levels = above(dict(zip(pos, leaves)), n, 0, level)
         [(idx, top)] = levels[level].items()
         to_sub = shared(known, tree, n, idx, level)
@@ -277,15 +278,16 @@ def proofs(manifest: Manifest, id_type: T.DataType) -> DataFrame:
         + [T.StructField(n, T.StringType()) for n in ("leaf", "subroot", "root", "proof_sha256", "folded_root")]
         + [T.StructField("verified", T.BooleanType())]
     )
-    blocks = manifest.leaves.withColumn("block", F.shiftright("pos", BITS)).groupBy("tree", "block")
-    return blocks.cogroup(fetched(manifest).groupBy("tree", "block")).applyInArrow(expand, schema)
+    blocks = manifest.leaves.withColumn("block", F.shiftright("pos", bits)).groupBy("tree", "block")
+    return blocks.cogroup(fetched(manifest, top_nodes).groupBy("tree", "block")).applyInArrow(expand, schema)
 
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
 def verify(docs: DataFrame, altered: Mapping[str, Column] | None = None, where: Column | None = None,
-           id_col: str = "doc_id", tree_col: str = "lang", columns: Sequence[str] = COLUMNS) -> DataFrame:
+           id_col: str = "doc_id", tree_col: str = "lang", columns: Sequence[str] = COLUMNS,
+           bits: int = BITS, top_nodes: int = TOP_NODES) -> DataFrame:
     """Build the manifest of ``docs`` and prove every row against its root, rows ``where`` as ``altered``.
 
     One row per row of ``docs``.  Null values are part of the leaf as such; rows
@@ -295,6 +297,6 @@ def verify(docs: DataFrame, altered: Mapping[str, Column] | None = None, where:
     no rows.  Columns that are not named are not read.  Calling it runs jobs.
     """
     with scratch(docs.sparkSession):
-        manifest = build(docs, columns, tree_col, id_col, altered, where)
-        result = proofs(manifest, docs.schema[id_col].dataType).withColumnRenamed("id", id_col)
+        manifest = build(docs, columns, tree_col, id_col, altered, where, bits)
+        result = proofs(manifest, docs.schema[id_col].dataType, top_nodes).withColumnRenamed("id", id_col)
         return saved(result, "manifest-proofs", outlives=True)

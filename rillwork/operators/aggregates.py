@@ -7,22 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_amount, total
+from rillwork.functions.exact import sums
 
 
 def mean_by(
     df: DataFrame, keys: Sequence[str], amount: str, name: str = "mean", places: int | None = None
 ) -> DataFrame:
-    """Mean per key; from an exact sum where the values have ``places`` decimals at most."""
-    mean = as_amount(total(amount, places), places) / F.count(amount)
+    """Mean per key, from an exact sum; reads ``df`` once more unless the number of decimals is given."""
+    mean = sums(df, amount, places).by(F.sum) / F.count(amount)
     return df.groupBy(*keys).agg(mean.alias(name))
 
 
 def sum_by(
     df: DataFrame, keys: Sequence[str], amount: str, name: str = "total", places: int | None = None
 ) -> DataFrame:
-    """Sum per key; exact where the values have ``places`` decimals at most."""
-    return df.groupBy(*keys).agg(as_amount(total(amount, places), places).alias(name))
+    """Exact sum per key; reads ``df`` once more unless the number of decimals is given."""
+    return df.groupBy(*keys).agg(sums(df, amount, places).by(F.sum).alias(name))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -30,7 +30,7 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
 
 
 def sum_and_count(df: DataFrame, amount: str, places: int | None = None) -> DataFrame:
-    return df.agg(as_amount(total(amount, places), places).alias("total"), F.count(amount).alias("n"))
+    return df.agg(sums(df, amount, places).by(F.sum).alias("total"), F.count(amount).alias("n"))
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -52,7 +52,7 @@ def _highest(name: str, amount: str, zero: tuple[str, float]) -> tuple[Column, C
 
 
 def fold_highest(
-    df: DataFrame, name: str, amount: str, keys: Sequence[str] = (), zero: tuple[str, float] = ("dummy", 0.0)
+    df: DataFrame, name: str, amount: str, keys: Sequence[str] = (), zero: tuple[str, float] = ("none", 0.0)
 ) -> DataFrame:
     """The record with the highest amount, overall or per key, starting from a zero record."""
     return df.groupBy(*keys).agg(*_highest(name, amount, zero))
@@ -72,7 +72,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], counted: str) -> DataFram
 
 def fill_with_mean(df: DataFrame, amount: str, places: int | None = None) -> DataFrame:
     """Null amounts replaced by the mean of the others."""
-    mean = df.agg((as_amount(total(amount, places), places) / F.count(amount)).alias("mean")).scalar()
+    mean = df.agg((sums(df, amount, places).by(F.sum) / F.count(amount)).alias("mean")).scalar()
     return df.withColumn(amount, F.coalesce(F.col(amount), mean))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_amount, total
+from rillwork.operators.aggregates import sum_by
 
 
 def pivot_total(
@@ -20,12 +20,12 @@ def pivot_total(
 ) -> DataFrame:
     """One column per value with its total; values not listed are looked up first.
 
-    The amounts are added up per row and value before they are turned.
+    The amounts are added up exactly per row and value before they are turned, so
+    that one total at most meets in each cell.
     """
-    sums = df.groupBy(row, column).agg(total(amount, places).alias("_sum"))
-    turned = sums.groupBy(row).pivot(column, list(values) if values is not None else None)
-    out = turned.agg(F.sum("_sum"))
-    return out.select(row, *[as_amount(F.col(f"`{c}`"), places).alias(c) for c in out.columns if c != row])
+    totals = sum_by(df, [row, column], amount, "_sum", places)
+    turned = totals.groupBy(row).pivot(column, list(values) if values is not None else None)
+    return turned.agg(F.sum("_sum"))
 
 
 def unpivot(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillwork.functions.money import as_amount, units
+from rillwork.functions.exact import sums
 from rillwork.functions.times import seconds
 from rillwork.operators.ordered import (
     cut,
@@ -70,11 +70,12 @@ def centred_average(
     group_rows: int | None = None,
     places: int | None = None,
 ) -> DataFrame:
-    """Sum, count and mean of each row with its two neighbours; exact where ``places`` is given."""
+    """Exact sum of each row with its two neighbours, their count and mean."""
+    amount = sums(df, value, places)
 
     def compute(rows, window):
         frame = window.rowsBetween(-1, 1)
-        total = as_amount(F.sum(units(value, places)).over(frame), places)
+        total = amount.by(lambda part: F.sum(part).over(frame))
         count = F.count(value).over(frame)
         return rows.withColumns(
             {"frame_total": total, "frame_rows": count, "centred_average": F.try_divide(total, count)}
@@ -112,9 +113,15 @@ def cumulative_sum(
     group_rows: int | None = None,
     places: int | None = None,
 ) -> DataFrame:
-    """Running sum within the key; exact where the values have ``places`` decimals at most."""
-    summed = running(df, keys, order, {"cumulative_sum": units(value, places)}, group_rows=group_rows)
-    return summed.withColumn("cumulative_sum", as_amount("cumulative_sum", places))
+    """Exact running sum within the key; reads ``df`` once more unless the number of decimals is given.
+
+    Totals of earlier slices are added as whole limbs, so the result has the same
+    bits however the rows are cut and ordered on the way.
+    """
+    amount = sums(df, value, places)
+    names = [f"_sum_{i}" for i in range(len(amount.parts))]
+    summed = running(df, keys, order, dict(zip(names, amount.parts)), group_rows=group_rows)
+    return summed.withColumn("cumulative_sum", amount.join([F.col(n) for n in names])).drop(*names)
 
 
 def event_gaps(

@@ -133,7 +133,7 @@ def reduce_sum(t: Tables) -> DataFrame:
     return aggregates.sum_by(t.lineitem, [], "l_quantity", places=2)
 
 
-HIGHEST_SQL = """CASE WHEN max(c_acctbal) > 0 THEN arg_max(c_name, (c_acctbal, c_name)) ELSE 'dummy' END AS c_name,
+HIGHEST_SQL = """CASE WHEN max(c_acctbal) > 0 THEN arg_max(c_name, (c_acctbal, c_name)) ELSE 'none' END AS c_name,
     CASE WHEN max(c_acctbal) > 0 THEN max(c_acctbal) ELSE 0 END AS c_acctbal FROM customer"""
 
 

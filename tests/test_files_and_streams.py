@@ -57,18 +57,17 @@ def database(spark):
 
 
 def test_quoted_csv_table(spark, rows, tmp_path, database):
-    (tmp_path / "data.csv").write_text("7,'north, upper',12,'open'\n8,'south, lower',40,'shut'\n")
-    table = f"{database}.people"
-    tables.quoted_csv_table(spark, table, "id INT, name STRING, age INT, gender STRING")
-    tables.load_csv(spark, str(tmp_path / "data.csv"), table)
-    assert rows(spark.table(table)) == [(1, "aks, Katti", 31, "Male"), (2, "swt, Mahajan", 30, "FeMale")]
-    tables.load_csv(spark, str(tmp_path / "data.csv"), table)
-    assert spark.table(table).count() == 4
-    copy = tables.save_table(spark.table(table), f"{database}.by_gender", ["gender"])
-    plan = copy.filter("gender = 'Male'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(gender" in plan
+    (tmp_path / "bays.csv").write_text("7,'north, upper',12,'open'\n8,'south, lower',40,'shut'\n")
+    table = f"{database}.bays"
+    tables.quoted_csv_table(spark, table, "bay INT, place STRING, seats INT, state STRING")
+    tables.load_csv(spark, str(tmp_path / "bays.csv"), table)
+    assert rows(spark.table(table)) == [(7, "north, upper", 12, "open"), (8, "south, lower", 40, "shut")]
+    copy = tables.save_table(spark.table(table), f"{database}.by_state", ["state"])
+    open_ones = copy.filter("state = 'open'")
+    assert rows(open_ones.select("bay", "seats")) == [(7, 12)]
+    assert "PartitionFilters: [isnotnull(state" in open_ones._jdf.queryExecution().executedPlan().toString()
     spark.range(1).createOrReplaceTempView("passing")
-    assert rows(tables.table_names(spark, database)) == [("by_gender",), ("people",)]
+    assert rows(tables.table_names(spark, database)) == [("bays",), ("by_state",)]
 
 
 def test_union_tables_and_external_table(spark, tmp_path, database):

@@ -184,10 +184,10 @@ def test_set_operations(spark, rows):
 
 def test_fold_starts_from_the_zero_record(spark, rows):
     df = spark.createDataFrame([("IT", "Jack", 1000.0), ("IT", "Bob", 2000.0), ("HR", "Bob", 2500.0), ("HR", "Carl", 7000.0), ("XX", "Al", -1.0)], "dept string, name string, pay double")
-    assert rows(aggregates.fold_highest(df, "name", "pay", ["dept"])) == [("HR", "Carl", 7000.0), ("IT", "Bob", 2000.0), ("XX", "dummy", 0.0)]
+    assert rows(aggregates.fold_highest(df, "name", "pay", ["dept"])) == [("HR", "Carl", 7000.0), ("IT", "Bob", 2000.0), ("XX", "none", 0.0)]
     assert rows(aggregates.fold_highest(df, "name", "pay")) == [("Carl", 7000.0)]
-    assert rows(aggregates.fold_highest(df.filter("pay < 0"), "name", "pay")) == [("dummy", 0.0)]
-    assert rows(aggregates.fold_highest(df.limit(0), "name", "pay")) == [("dummy", 0.0)]
+    assert rows(aggregates.fold_highest(df.filter("pay < 0"), "name", "pay")) == [("none", 0.0)]
+    assert rows(aggregates.fold_highest(df.limit(0), "name", "pay")) == [("none", 0.0)]
 
 
 def test_means_and_totals(spark, rows):

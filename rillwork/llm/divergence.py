@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -23,8 +24,8 @@ from rillwork.llm.common import SLICE_ROWS, saved, scratch, small_batches
 
 #: Documents of a language that have a term before the term is kept, and terms reported per source.
 LEAST_DOCS, MOST_TERMS = 10, 10
-#: Terms per language and source that a task adds up before it writes them, and digests whose text it knows to be written.
-HELD_TERMS, SEEN_DIGESTS = 200_000, 500_000
+#: Terms per language and source that a task adds up before it writes them, and terms that it knows to be written.
+HELD_TERMS, SEEN_TERMS = 600_000, 600_000
 
 #: Bytes between terms become spaces, A-Z becomes a-z; bytes of longer characters belong to terms.
 TERM_BYTES = bytes(
@@ -38,47 +39,53 @@ def terms(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(TERM_BYTES).split()
 
 
-def digests(term: bytes, bits: int) -> Iterator[int]:
-    """A term's digests by seed, as signed numbers; the first has ``bits`` bits."""
+def digest(term: bytes, bits: int, split: set[int], only: set[int] | None = None) -> int | None:
+    """The first of a term's digests by seed that is not in ``split``, as a signed number.
+
+    The first seed's has ``bits`` bits.  With ``only``, none unless one before it is in ``only``.
+    """
+    hit = only is None
     for seed in range(1 << 16):
-        digest = xxhash.xxh64_intdigest(term, seed)
-        digest = digest >> (64 - bits) if not seed and bits < 64 else digest
-        yield digest - (1 << 64) if digest >> 63 else digest
+        found = xxhash.xxh64_intdigest(term, seed)
+        found = found >> (64 - bits) if not seed else found
+        found = found - (1 << 64) if found >> 63 else found
+        if found not in split:
+            return found if hit else None
+        hit = hit or found in only
+    raise ValueError("a term shares its digests under every seed")
 
 
 def postings(docs: DataFrame, bits: int, split: set[int], only: set[int] | None = None) -> DataFrame:
     """Counts of terms and of documents per language, source and digest, as far as one task adds them up.
 
-    A term's digest is its first one that is not in ``split``.  With ``only``, terms
-    are left out unless one of those before it is in ``only``.
+    A term's text is given the first time; with ``only``, only terms that ``digest`` finds are.
     """
     small_batches(docs.sparkSession)
+    names = ["lang", "source", "digest", "n", "n_docs", "term"]
+    plain = bits == 64 and not split and only is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, tuple[Counter, Counter]] = {}
-        seen: dict[int, bytes] = {}
-
-        def rows():
-            for (lang, source), (n, n_docs) in counts.items():
-                for term, found in n.items():
-                    before = []
-                    for digest in digests(term, bits):
-                        if digest not in split:
-                            break
-                        before.append(digest)
-                    if only is None or only.intersection(before):
-                        yield lang, source, digest, found, n_docs[term], None if seen.get(digest) == term else term
-                        seen[digest] = term
+        seen: set[bytes] = set()
 
         def written() -> Iterator[pa.RecordBatch]:
-            columns = list(zip(*rows())) or [[]] * 6
+            for (lang, source), (n, n_docs) in counts.items():
+                found = list(n)
+                if plain:
+                    marks = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)).view(np.int64)
+                else:
+                    marks = [digest(t, bits, split, only) for t in found]
+                if only is not None:
+                    found = [t for t, d in zip(found, marks) if d is not None]
+                    marks = [d for d in marks if d is not None]
+                texts = pa.array([None if t in seen else t for t in found], pa.binary())
+                seen.update(found)
+                arrays = [pa.array([v] * len(found), pa.string()) for v in (lang, source)]
+                arrays += [pa.array(v, pa.int64()) for v in (marks, list(map(n.__getitem__, found)), list(map(n_docs.__getitem__, found)))]
+                yield pa.RecordBatch.from_arrays([*arrays, texts.cast(pa.string())], names=names)
             counts.clear()
-            if len(seen) > SEEN_DIGESTS:
+            if len(seen) > SEEN_TERMS:
                 seen.clear()
-            kinds = pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            arrays.append(pa.array(columns[5], pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "digest", "n", "n_docs", "term"])
 
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
@@ -86,9 +93,9 @@ def postings(docs: DataFrame, bits: int, split: set[int], only: set[int] | None
                 texts = piece.column("text").cast(pa.binary()).to_pylist()
                 for lang, source, text in zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist(), texts):
                     n, n_docs = counts.setdefault((lang, source), (Counter(), Counter()))
-                    here = Counter(terms(text))
+                    here = terms(text)
                     n.update(here)
-                    n_docs.update(here.keys())
+                    n_docs.update(set(here))
                 if sum(len(n) for n, _ in counts.values()) > HELD_TERMS:
                     yield from written()
         yield from written()

@@ -168,7 +168,7 @@ def test_shared_digests_are_split(spark):
 
 def test_terms_written_often_count_once_each(spark, monkeypatch):
     monkeypatch.setattr(divergence, "HELD_TERMS", 5)
-    monkeypatch.setattr(divergence, "SEEN_DIGESTS", 3)
+    monkeypatch.setattr(divergence, "SEEN_TERMS", 3)
     monkeypatch.setattr(divergence, "SLICE_ROWS", 2)
     data = audit_texts(seed=8, n=80)
     assert sorted(tuple(r) for r in divergence.audit(table(spark, data)).collect()) == brute_audit(data)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.operators.history import merge_history
+from rillwork.operators.history import merge_history, merge_saved, save_history
 from rillwork.plans.registry import Tables, query
+from rillwork.session import shared_path
+from rillwork.sources import versions
 
 #: Orders before this day make the base, orders from it on the updates.
 CUT = "1998-07-01"
@@ -50,3 +52,37 @@ def _base_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
 )
 def scd2_merge(t: Tables) -> DataFrame:
     return merge_history(*_base_and_updates(t), "c_custkey", "last_update", "indicator")
+
+
+MANY_CHANGES_SQL = """WITH days AS (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders),
+    chained AS (SELECT *, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS n FROM days)
+    SELECT o_custkey, d AS last_update, coalesce(n, '9999-12-31') AS change_date,
+        CASE WHEN n IS NULL THEN 'A' ELSE 'I' END AS indicator FROM chained"""
+
+
+def _order_days(t: Tables) -> DataFrame:
+    """A change of the customer on every day with an order, as text."""
+    return t.orders.select(
+        "o_custkey", F.date_format("o_orderdate", "MM-dd-yyyy").alias("last_update"), F.lit("U").alias("indicator"),
+        (F.to_date("o_orderdate") < F.lit(CUT).cast("date")).alias("early"),
+    )
+
+
+@query(MANY_CHANGES_SQL)
+def scd2_many_changes(t: Tables) -> DataFrame:
+    """Histories of customers with any number of changes on both sides."""
+    days = _order_days(t)
+    return merge_history(days.filter("early"), days.filter("NOT early"), "o_custkey", "last_update", "indicator")
+
+
+@query(MANY_CHANGES_SQL)
+def scd2_saved_merge(t: Tables) -> DataFrame:
+    """The same in a saved table, to which two sets of updates are merged, by ranges of customers."""
+    days, path = _order_days(t), shared_path(t.spark, "history")
+    names = "o_custkey", "last_update", "indicator"
+    nothing = days.filter(F.lit(False))
+    save_history(merge_history(days.filter("early"), nothing, *names), path, names[0])
+    late, odd = days.filter("NOT early"), F.col("o_custkey") % 2 == 1
+    for version, part in enumerate((late.filter(odd), late.filter(~odd)), 1):
+        merge_saved(t.spark, path, part, *names[1:], version)
+    return versions.read(t.spark, path)

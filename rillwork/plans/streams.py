@@ -88,11 +88,23 @@ def stream_count_complete(t: Tables) -> DataFrame:
     return jobs.last_version(t.spark, sink)
 
 
-@query(COUNTS_SQL)
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1")
 def stream_count_update(t: Tables) -> DataFrame:
-    sink, checkpoint = shared_path(t.spark, "update"), shared_path(t.spark, "update-checkpoint")
-    counted = jobs.counts(_event_stream(t), ["event_type"])
-    jobs.finish(jobs.upsert_each_batch(counted, sink, ["event_type"], checkpoint, drain=True))
+    """Counts per user over several batches, with a restart between two of them.
+
+    Half of the events come as two files or more, the others are added after the
+    first run has used them up.
+    """
+    source, sink = shared_path(t.spark, "update-in"), shared_path(t.spark, "update")
+    checkpoint = shared_path(t.spark, "update-checkpoint")
+    events = t.events.select("event_id", "user_id")
+    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
+    for part in (odd, ~odd):
+        events.filter(part).repartition(max(2, t.spark.sparkContext.defaultParallelism // 4)).write.mode("append").parquet(source)
+        files = max(1, len(t.spark.read.parquet(source).inputFiles()) // 4)
+        stream = jobs.stream_files(t.spark, source, events.schema, "parquet", maxFilesPerTrigger=str(files))
+        counted = jobs.counts(stream, ["user_id"])
+        jobs.finish(jobs.upsert_each_batch(counted, sink, ["user_id"], checkpoint, drain=True))
     return jobs.last_version(t.spark, sink)
 
 

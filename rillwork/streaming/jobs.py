@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillwork.functions.messages import decode, encode
+from rillwork.sources import versions
 
 
 def stream_files(
@@ -67,52 +68,53 @@ def counts(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 
 
 def _versioned(path: str, batch: int) -> str:
-    return f"{path}/batch={batch:012d}"
+    return f"{path}/batch={batch}"
 
 
 def replace_each_batch(
-    df: DataFrame, path: str, checkpoint: str, drain: bool = False
+    df: DataFrame, path: str, checkpoint: str, drain: bool = False, kept: int = versions.KEPT
 ) -> StreamingQuery:
     """Complete output: every batch writes the whole result to a folder of its own.
 
-    A batch that is run again after a failure overwrites its own folder.  Folders
-    of earlier batches stay until someone removes them.
+    A batch that is run again after a failure overwrites its own folder.  The last
+    ``kept`` folders stay.
     """
 
     def write(result: DataFrame, batch: int) -> None:
         result.write.mode("overwrite").parquet(_versioned(path, batch))
+        for old in versions.finished(result.sparkSession, path, "batch")[:-kept]:
+            versions.remove(result.sparkSession, _versioned(path, old))
 
     return _start(df, checkpoint, "complete", drain).foreachBatch(write).start()
 
 
 def upsert_each_batch(
-    df: DataFrame, path: str, keys: Sequence[str], checkpoint: str, drain: bool = False
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    drain: bool = False,
+    buckets: int = 32,
+    kept: int = versions.KEPT,
 ) -> StreamingQuery:
-    """Update output: changed rows replace those of the same key in the last version."""
+    """Update output: changed rows replace those of the same key.
+
+    A batch writes its changed rows as deltas per bucket of keys, and a manifest; a
+    bucket whose deltas outgrew it is put together anew.  A batch that is run again
+    starts from the manifest before it.  The last ``kept`` versions stay readable.
+    """
 
     def write(changed: DataFrame, batch: int) -> None:
-        # Read twice below; without this the batch and its state would run twice.
-        changed = changed.persist()
-        try:
-            merged = changed
-            if batch > 0:
-                before = changed.sparkSession.read.parquet(_versioned(path, batch - 1))
-                kept = before.join(changed.select(*keys), list(keys), "left_anti")
-                merged = kept.unionByName(changed)
-            merged.write.mode("overwrite").parquet(_versioned(path, batch))
-        finally:
-            changed.unpersist()
+        versions.upsert(changed, path, keys, batch, buckets, kept)
 
     return _start(df, checkpoint, "update", drain).foreachBatch(write).start()
 
 
 def last_version(spark: SparkSession, path: str) -> DataFrame:
-    """What a versioned sink wrote in its last batch, found by its folder; it may be empty."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [s.getPath().getName() for s in system.listStatus(root)]
-    whole = [f for f in folders if f.startswith("batch=") and system.exists(root.suffix(f"/{f}/_SUCCESS"))]
-    return spark.read.parquet(f"{path}/{max(whole)}")
+    """What a versioned sink holds after its last batch; it may be empty."""
+    if versions.versions(spark, path):
+        return versions.read(spark, path)
+    return spark.read.parquet(_versioned(path, versions.finished(spark, path, "batch")[-1]))
 
 
 def finish(query: StreamingQuery, timeout: int = 600) -> StreamingQuery:

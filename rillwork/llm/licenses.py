@@ -1,17 +1,20 @@
 """License notices by conditional compression.
 
-A text is cut into sentences and lines; runs of them that use the templates'
-vocabulary and hold a word of licensing are candidate blocks.  Every template whose
-words a block may hold is aligned with it, and a place whose wording differs little,
-and in no number, is a candidate.  The words of each candidate are compressed with
-Zstandard alone and with the template as a raw-content dictionary; the one that
-saves most bytes is confirmed, and what is left on both sides is searched again.
-No template is left out for saving little.
+Candidates are windows of a template's length, with room for added words, around
+words of licensing, wherever they stand in a text: every place where enough of the
+template's words occur.  The words of each window are compressed with Zstandard
+alone and with the template as a raw-content dictionary.  Windows that the
+dictionary shrinks too little are dropped, and the others are ranked by the bytes
+it saves.  Down the ranking, a window is confirmed by its exact wording: most of
+the template's words in their order, all its numbers and the words that name the
+license, and few others in between.  What is left on both sides of a confirmed
+notice is searched again.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
@@ -89,11 +92,11 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 GATE = re.compile(r"licen[sc]|copyright|warrant|permission|redistribut|rights\s+reserved", re.I)
-UNIT = re.compile(r"[^\n]*?(?:[.;:](?=\s)|\n|\Z)")
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: Share of a unit's words that must be the templates', and words of a stretch at least.
-LEAST_KNOWN = 0.6
+#: Words of a stretch at least.
 BLOCK_WORDS = 400
+#: Share of a window's compressed bytes that its template must take off.
+LEAST_REDUCTION = 0.15
 #: Share of a template's words that must be found, and share that may be added in between.
 LEAST_FOUND = 0.8
 MOST_ADDED = 0.25
@@ -114,8 +117,13 @@ class Templates:
 
     def __init__(self, templates):
         self.named = [(name, [t for t, _, _ in terms(text)]) for name, text in templates]
-        self.vocabulary = {w for _, ws in self.named for w in ws}
-        self.code = {w: i for i, w in enumerate(sorted(self.vocabulary))}
+        #: Whether each template can be found by words of licensing alone.
+        self.gated = all(GATE.search(text) for _, text in templates)
+        #: Words that must be found: numbers, and those that name the license.
+        self.needed = [
+            {w for w in ws if w[0].isdigit() or w in {t for t, _, _ in terms(name)}} for name, ws in self.named
+        ]
+        self.code = {w: i for i, w in enumerate(sorted({w for _, ws in self.named for w in ws}))}
         self.coded = [np.array([self.code[w] for w in ws], dtype=np.int32) for _, ws in self.named]
         self.counts = np.array([np.bincount(c, minlength=len(self.code)) for c in self.coded])
         self.least = np.array([LEAST_FOUND * len(c) for c in self.coded])
@@ -149,14 +157,14 @@ class Templates:
         """(first, end, differences) of the words that stand for the template, or None.
 
         Of the alignments with any stretch of the words the one with most words found
-        less words added wins; numbers must be found.
+        less words added wins; numbers and the words that name the license must be found.
         """
-        wanted, ids = self.named[template][1], self.coded[template]
+        wanted, ids, needed = self.named[template][1], self.coded[template], self.needed[template]
         n = len(ids)
         place = np.arange(len(words) + 1, dtype=np.int32)
         score = np.zeros((n + 1, len(words) + 1), dtype=np.int32)
         for i in range(n):
-            row = np.full(len(words) + 1, NEVER, dtype=np.int32) if wanted[i][0].isdigit() else score[i].copy()
+            row = np.full(len(words) + 1, NEVER, dtype=np.int32) if wanted[i] in needed else score[i].copy()
             found = np.flatnonzero(coded == ids[i])
             row[found + 1] = np.maximum(row[found + 1], score[i][found] + 1)
             score[i + 1] = np.maximum.accumulate(row + place) - place
@@ -166,7 +174,7 @@ class Templates:
             while i:
                 if j and coded[j - 1] == ids[i - 1] and score[i, j] == score[i - 1, j - 1] + 1:
                     i, j = i - 1, j - 1
-                elif not wanted[i - 1][0].isdigit() and score[i, j] == score[i - 1, j]:
+                elif wanted[i - 1] not in needed and score[i, j] == score[i - 1, j]:
                     i -= 1
                     missing.append(wanted[i])
                 else:
@@ -176,44 +184,77 @@ class Templates:
                 return j, end, [f"-{w}" for w in missing[::-1]] + [f"+{w}" for w in added[::-1]]
         return None
 
-    def blocks(self, text: str) -> Iterator[list]:
-        """Candidate blocks, whole runs of units, as lists of (word, start, end)."""
-        run: list = []
-        gate = False
-        for m in UNIT.finditer(text):
-            if m.start() == m.end():
-                continue
-            unit = [(w, m.start() + a, m.start() + b) for w, a, b in terms(m[0])]
-            if not unit and not m[0].strip():
-                continue
-            known = sum(w in self.vocabulary for w, _, _ in unit)
-            fits = bool(unit) and known >= LEAST_KNOWN * len(unit)
-            if run and not fits:
-                if gate:
-                    yield run
-                run, gate = [], False
-            if fits:
-                run += unit
-                gate = gate or bool(GATE.search(m[0]))
-        if run and gate:
-            yield run
+    def windows(self, coded: np.ndarray, template: int) -> Iterator[tuple[int, int]]:
+        """Where enough of a template's words occur in its length with room for added words, in whatever order.
+
+        Of neighbouring places the first one with most words is given.
+        """
+        ids, wanted = self.coded[template], self.counts[template]
+        width = min(len(coded), len(ids) + int(MOST_ADDED * len(ids)))
+        least = ceil(self.least[template] - 1e-9)
+        there = np.zeros(len(self.code), dtype=np.int64)
+        inside, run = 0, None
+        for at, word in enumerate(coded.tolist()):
+            if word >= 0:
+                inside += there[word] < wanted[word]
+                there[word] += 1
+            if at >= width and (gone := coded[at - width]) >= 0:
+                there[gone] -= 1
+                inside -= there[gone] < wanted[gone]
+            if at >= width - 1:
+                first = at - width + 1
+                if inside >= least:
+                    if run is None or inside > run[0]:
+                        run = inside, first
+                    continue
+                if run is not None:
+                    yield run[1], run[1] + width
+                    run = None
+        if run is not None:
+            yield run[1], run[1] + width
+
+    def stretches(self, text: str, block: list) -> list[tuple[int, int]]:
+        """The parts of a text's words that may hold a notice: those near a word of licensing."""
+        if not self.gated:
+            return [(0, len(block))] if block else []
+        starts = [a for _, a, _ in block]
+        out: list[tuple[int, int]] = []
+        for m in GATE.finditer(text):
+            at = bisect_right(starts, m.start())
+            first, end = max(0, at - 1 - self.longest), min(len(block), at + self.longest)
+            if out and first <= out[-1][1]:
+                out[-1] = out[-1][0], max(end, out[-1][1])
+            else:
+                out.append((first, end))
+        return out
 
     def find(self, text: str):
         """(start, end, license, reduction, differences) of every confirmed notice."""
-        out = []
-        if not GATE.search(text):
+        out: list = []
+        if self.gated and not GATE.search(text):
             return out
-        for block in self.blocks(text):
-            first, size = 0, max(BLOCK_WORDS, 2 * self.longest)
-            while first < len(block):
-                last = first + size >= len(block)
+        block = terms(text)
+        size = max(BLOCK_WORDS, 2 * self.longest)
+        for first, end in self.stretches(text, block):
+            while first < end:
+                last = first + size >= end
                 # What begins in the overlap is left to the next stretch, which holds it whole.
-                border = len(block) if last else first + size - self.longest
-                hits = [h for h in self.notices(block, first, min(first + size, len(block))) if h[0] < border]
+                border = end if last else first + size - self.longest
+                hits = [h for h in self.notices(block, first, min(first + size, end)) if h[0] < border]
                 out += [(block[a][1], block[b - 1][2], *rest) for a, b, *rest in hits]
                 first = max([border, *[b for _, b, *_ in hits]])
         return sorted(out, key=lambda x: x[:3])
 
+    def ranked(self, words: list[str], coded: np.ndarray) -> list[tuple]:
+        """(bytes saved, share saved, template, first, end) of the windows that their template shrinks, best first."""
+        out = []
+        for i in self.possible(coded):
+            for a, b in self.windows(coded, i):
+                less, share = self.saved(words[a:b], i)
+                if share >= LEAST_REDUCTION:
+                    out.append((less, share, i, a, b))
+        return sorted(out, key=lambda c: (-c[0], -c[1], c[3], c[2]))
+
     def notices(self, block: list, first: int, end: int) -> list:
         """(first, end, license, reduction, differences) of the notices in a stretch of a block, in words."""
         out = []
@@ -225,15 +266,15 @@ class Templates:
                 continue
             plain = [w for w, _, _ in block[first:end]]
             coded = np.array([self.code.get(w, -1) for w in plain], dtype=np.int32)
-            ranked = []
-            for i in self.possible(coded):
-                if hit := self.difference(plain, coded, i):
-                    less, share = self.saved(plain[hit[0] : hit[1]], i)
-                    ranked.append(((-less, len(hit[2]), len(self.named[i][1]), i), share, hit))
-            if ranked:
-                (*_, i), reduction, (a, b, changes) = min(ranked)
-                out.append((first + a, first + b, self.named[i][0], reduction, changes))
-                rest += [(first, first + a), (first + b, end)]
+            for _, share, i, a, b in self.ranked(plain, coded):
+                # The notice may reach over the window's edges where words are missing.
+                slack = len(self.named[i][1])
+                a, b = max(0, a - slack), min(len(plain), b + slack)
+                if hit := self.difference(plain[a:b], coded[a:b], i):
+                    begin, stop, changes = first + a + hit[0], first + a + hit[1], hit[2]
+                    out.append((begin, stop, self.named[i][0], share, changes))
+                    rest += [(first, begin), (stop, end)]
+                    break
         return out
 
 
@@ -258,10 +299,11 @@ FOUND = T.ArrayType(
 def scan(df: DataFrame, text: str = "text", templates=TEMPLATES, keep_text: bool = True) -> DataFrame:
     """Add ``notices``: (start, end, license, reduction, differences) per confirmed notice.
 
-    Places are code points, end exclusive.  Whole texts are searched; long blocks
-    of license-like sentences in stretches that overlap by the longest notice.  Null
-    and empty texts have no notice, repeated rows are searched like others, an
-    empty table stays empty, and an input column ``notices`` is replaced.
+    Places are code points, end exclusive.  Whole texts are searched, long parts
+    with words of licensing in stretches that overlap by the longest notice; if a
+    template has no such word, whole texts are.  Null and empty texts have no
+    notice, repeated rows are searched like others, an empty table stays empty, and
+    an input column ``notices`` is replaced.
     """
     keys = ("start", "end", "license", "reduction", "differences")
 
@@ -273,7 +315,11 @@ def scan(df: DataFrame, text: str = "text", templates=TEMPLATES, keep_text: bool
 
 
 def report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its id, its licenses and all confirmed notices."""
+    """One row per row of ``df``: its id, its licenses and all confirmed notices.
+
+    Null and empty texts have none; repeated rows get a row each; an empty table
+    gives no rows; other columns are ignored.
+    """
     found = scan(df.select(F.col(id), F.col(text)), text, keep_text=False)
     return found.select(
         id,

@@ -373,10 +373,14 @@ def block_links(guests: list, owns: list, least: int) -> list[tuple[int, int]]:
 def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """The rows of ``df``, with all columns, whose id is the smallest of its component.
 
-    Rows with one id are one document; they stay together.
+    Rows with one id are one document; they stay together.  Rows without an id,
+    and null and empty texts, which link with nothing, stay; an empty table stays
+    empty; columns may have any names.  Calling it runs jobs.
     """
     with scratch(df.sparkSession):
         found = near_texts(df, id, text, size, least)
         gone = found.filter(~F.col("kept")).select(F.col(id).alias("_gone")).distinct()
         dropped = saved(gone, "gone", outlives=True)
-    return df.join(dropped, F.col(id).cast("bigint") == F.col("_gone"), "left_anti")
+    # The row travels as one column, so its columns cannot clash with the operator's own.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id).cast("bigint").alias("_id"))
+    return rows.join(dropped, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")

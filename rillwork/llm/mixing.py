@@ -241,7 +241,11 @@ def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix itself: every row of ``df`` as often as it is taken, with all its columns."""
+    """The mix itself: every row of ``df`` as often as it is taken, with all its columns, whatever their names.
+
+    Null sources, texts and ids, repeated rows and documents without words are
+    treated as in ``mixed``; an empty table stays empty.  Calling it runs jobs.
+    """
     with scratch(df.sparkSession):
         plan = saved(
             mixed(df, id, text, source)
@@ -251,14 +255,18 @@ def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "so
             "plan",
             outlives=True,
         )
+    # The row travels as one column, so its columns cannot clash with the operator's own.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        F.col(source).cast("string").alias("_source"),
+        F.col(id).cast("bigint").alias("_id"),
+        word_count(text).alias("_size"),
+    )
     # The plan has a row per document, so it grows with the table and is never broadcast, however small.
-    joined = df.join(
+    joined = rows.join(
         plan.hint("merge"),
-        F.col(source).cast("string").eqNullSafe(F.col("_s"))
-        & F.col(id).cast("bigint").eqNullSafe(F.col("_d"))
-        & (word_count(text) == F.col("_z")),
+        F.col("_source").eqNullSafe(F.col("_s")) & F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z")),
         "left",
     )
     times = F.coalesce("_c", F.lit(1)).cast("int")
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return repeated.select(*[F.col(f"`{c}`") for c in df.columns])
+    return joined.select("_row", F.explode(F.array_repeat(F.lit(1), times))).select("_row.*")

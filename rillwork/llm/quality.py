@@ -275,7 +275,11 @@ def rules(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
 
 
 def keep_good(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The documents that ``rules`` keeps, with all their columns."""
+    """The documents that ``rules`` keeps, with all their columns, whatever their names.
+
+    Null and empty texts fail; repeated rows are judged alike and all stay or go; an
+    empty table stays empty.  Calling it runs jobs; texts are measured twice.
+    """
     # The row travels as one column, so its columns cannot clash with the operator's own.
     packed = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),

@@ -11,6 +11,7 @@ sample of texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from math import log
 
@@ -39,31 +40,78 @@ TRAIN_VALUES = 20_000
 #: Weight of the single characters' frequencies in every row of a model.
 PRIOR = 5.0
 MASK = "[SECRET]"
+#: Matches that are numbered together, and bits of the number of spans of one kind in a text.
+BLOCK = 256
+SPAN_BITS = 30
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def in_blocks(items: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` items.  Work that copies what it has so far then copies a block at most."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    return F.transform(numbers, lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def so_far(values: Column, begin: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What ``add`` makes of the values before each one."""
+    state = F.struct(begin.alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(state: Column, value: Column) -> Column:
+        here = F.concat(state["out"], F.array(state["at"]))
+        return F.struct(add(state["at"], value).alias("at"), here.alias("out"))
+
+    return F.aggregate(values, state, step, lambda s: s["out"])
 
 
 def found(text: Column, pattern: str, kind: str, value_group: int = 0, least: int = 0) -> Column:
     """Matches of a pattern as an array of (start, end, kind, value), in code points, end exclusive.
 
     The text between matches and the matches alternate, so their lengths give
-    the places.  Null and empty texts have no match.
+    the places: lengths are added up per block of matches, then inside each block.
+    Null and empty texts have no match.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else whole
     pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("hit"), value.alias("value"))
     empty = F.array().cast("array<struct<start:int,end:int,kind:string,value:string>>")
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(state, x):
+    def length(x: Column) -> Column:
+        return F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
+
+    def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        end = state["at"] + length(x)
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
         taken = x["hit"].isNotNull() & (F.length(x["value"]) >= least)
         return F.struct(end.alias("at"), F.when(taken, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    spans = F.aggregate(pieces, begin, step, lambda s: s["out"])
+    def placed(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + length(x)))
+        starts = so_far(sizes, F.lit(0), lambda n, size: n + size)
+        one = lambda b, at: F.aggregate(b, F.struct(at.alias("at"), empty.alias("out")), step, lambda s: s["out"])
+        return F.flatten(F.zip_with(blocks, starts, one))
+
+    spans = let(pieces, lambda p: let(in_blocks(p), placed))
     return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(empty)
 
 
+def overlaps(spans: Column, start: Column, end: Column) -> Column:
+    """Whether one of some spans, which are in order and apart from each other, overlaps a stretch.
+
+    Only the last span that begins before the stretch ends can; it is found by halving.
+    """
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(SPAN_BITS))])
+
+    def step(n: Column, power: Column) -> Column:
+        return F.when(F.coalesce(F.get(spans, n + power - 1)["start"] < end, F.lit(False)), n + power).otherwise(n)
+
+    return let(F.aggregate(powers, F.lit(0), step), lambda n: F.coalesce(F.get(spans, n - 1)["end"] > start, F.lit(False)))
+
+
 def with_base(df: DataFrame, text: str) -> DataFrame:
     """Add the plain patterns' spans by kind: ``_assign``, ``_access``, ``_hex``."""
     t = F.col(text)
@@ -166,7 +214,6 @@ def scan(df: DataFrame, text: str = "text", id: str | None = None) -> DataFrame:
     base = with_base(df, text)
     with scratch(df.sparkSession):
         model = train(df, saved(base.select("_assign", "_access", "_hex"), "spans"), text)
-    plain = F.concat("_assign", "_access", "_hex")
     judged = F.transform(
         F.filter(
             found(F.col(text), TOKEN, "random"),
@@ -178,7 +225,7 @@ def scan(df: DataFrame, text: str = "text", id: str | None = None) -> DataFrame:
         judged,
         lambda s: (s["ratio"] >= LEAST_RATIO)
         & (s["ratio"] >= LEAST_MEAN * F.length(s["span"]["value"]))
-        & ~F.exists(plain, lambda b: (b["start"] < s["span"]["end"]) & (s["span"]["start"] < b["end"])),
+        & ~reduce(lambda a, b: a | b, [overlaps(F.col(f"_{k}"), s["span"]["start"], s["span"]["end"]) for k in KINDS[:3]]),
     )
     return base.withColumn("_random", F.transform(random, lambda s: s["span"]))
 
@@ -200,7 +247,11 @@ def listed(kinds: tuple[str, ...]) -> Column:
 
 
 def report(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: its id, counts of the plain kinds, their digest, and all spans."""
+    """One row per row of ``df``: its id, counts of the plain kinds, their digest, and all spans.
+
+    Null and empty texts have none; repeated rows get a row each; an empty table
+    gives no rows; other columns are ignored.
+    """
     scanned = scan(df.select(F.col(id), F.col(text)), text)
     return scanned.select(
         id,
@@ -219,23 +270,42 @@ def masked(text: Column) -> Column:
             lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e")),
         )
     )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(state, s):
-        gap = F.when(s["s"] >= state["at"], F.concat(F.substring(text, state["at"] + 1, s["s"] - state["at"]), F.lit(MASK)))
-        return F.struct(
-            F.greatest(state["at"], s["e"]).alias("at"),
-            F.concat(state["out"], F.array(F.coalesce(gap, F.lit("")))).alias("out"),
-        )
+    def one(block: Column, before: Column) -> Column:
+        """The text from the end of the spans before a block to the end of the block's own, masked."""
+        whole = F.substring(text, before + 1, F.greatest(before, last_end(block)) - before)
+
+        def masked_part(part: Column) -> Column:
+            begin = F.struct(before.alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def finish(state):
-        return F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+            def step(state: Column, s: Column) -> Column:
+                gap = F.substring(part, state["at"] - before + 1, s["s"] - state["at"])
+                here = F.when(s["s"] >= state["at"], F.concat(gap, F.lit(MASK))).otherwise("")
+                return F.struct(
+                    F.greatest(state["at"], s["e"]).alias("at"), F.concat(state["out"], F.array(here)).alias("out")
+                )
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, finish)).otherwise(text)
+            return F.aggregate(block, begin, step, lambda s: F.array_join(s["out"], ""))
+
+        return let(whole, masked_part)
+
+    def last_end(block: Column) -> Column:
+        return F.array_max(F.transform(block, lambda s: s["e"]))
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(blocks, last_end)
+        parts = F.zip_with(blocks, so_far(ends, F.lit(0), lambda a, b: F.greatest(a, b)), one)
+        return F.concat(F.array_join(parts, ""), F.substring(text, F.array_max(ends) + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, let(spans, lambda s: let(in_blocks(s), joined))).otherwise(text)
 
 
 def mask(df: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """Every row of ``df`` with its secrets masked; a column ``length`` counts the new text's characters."""
+    """Every row of ``df`` with its secrets masked; a column ``length`` counts the new text's characters.
+
+    Null and empty texts stay as they are, and so does an empty table; repeated rows
+    all stay; other columns may have any names.
+    """
     # The row travels as one column, so its columns cannot clash with the operator's own.
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
     inside = f"_row.{text}"

@@ -275,6 +275,32 @@ def test_secrets(spark):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_texts_with_very_many_secrets(spark):
+    """Spans and masks of thousands of matches in one text, over the edges of blocks."""
+    draw = random.Random(19)
+    parts = []
+    for i in range(3 * secrets.BLOCK + 5):
+        key = f"{draw.getrandbits(128):032x}"
+        parts.append(draw.choice([f"token={key}", key, f"é {key}", f"secret: abcdef{i} {key[:20]}", f"AKIA{'Q' * 16} {key}"]))
+    texts = [" ".join(parts[:n]) for n in (secrets.BLOCK - 1, secrets.BLOCK, secrets.BLOCK + 1, len(parts))]
+    df = documents(spark, texts)
+    got = {r.doc_id: r for r in secrets.report(df).collect()}
+    masks = {r.doc_id: r.text for r in secrets.mask(df).collect()}
+    for i, text in enumerate(texts):
+        base = brute_spans(text)
+        spans = [s.split(":") for s in got[i].spans.split(",")]
+        assert got[i].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [":".join(s) for s in spans if s[0] != "random"] == base
+        plain = [tuple(map(int, s[1:])) for s in spans if s[0] != "random"]
+        assert not any(a < int(e) and int(s) < b for k, s, e in spans if k == "random" for a, b in plain)
+        want, at = "", 0
+        for start, end in sorted(tuple(map(int, s[1:])) for s in spans):
+            if start >= at:
+                want += text[at:start] + secrets.MASK
+            at = max(at, end)
+        assert masks[i] == want + text[at:]
+
+
 # --- shards ------------------------------------------------------------------
 
 
@@ -370,6 +396,69 @@ def test_license_statements_in_longer_passages():
     assert known.find(around * 5) == []
 
 
+def test_license_notices_inside_sentences():
+    known = licenses.prepared(licenses.TEMPLATES)
+    for text, name in (
+        ("The quick brown fox writes tools for many happy people every single day and this file is Released under the MIT License.", "MIT"),
+        ("foo bar baz qux zed alpha - Released under the MIT License - lorem ipsum dolor sit amet", "MIT"),
+        ("and so, all rights reserved by nobody in particular, the tale goes on", "proprietary"),
+        ("Released under the license, as they said, without naming one.", None),
+        ("licensed under the GNU General Public License, version 4, which is not there", None),
+    ):
+        assert [f[2] for f in known.find(text)] == ([name] if name else [])
+    draw = random.Random(5)
+    for name, template in dict.fromkeys(licenses.TEMPLATES):
+        words = template.split()
+        for _ in range(6):
+            some = [[draw.choice(WORDS) for _ in range(draw.randrange(60))] for _ in range(2)]
+            text = " ".join(some[0] + words + some[1])
+            [found] = known.find(text)
+            assert found[2] == name and not found[4] and text[found[0] : found[1]] in template
+
+
+def test_compression_decides_which_license_it_is(monkeypatch):
+    """Several templates fit the wording; the one whose dictionary saves most is taken, and too little is no notice."""
+    apache, mit = (long_notices(n)[0] for n in ("Apache-2.0", "MIT"))
+    known = licenses.prepared(licenses.TEMPLATES)
+    for text in (apache, mit):
+        [whole] = known.find(f"Before it. {text} After it.")
+        assert whole[1] - whole[0] > 0.95 * len(text) and whole[3] > 0.5
+    ranked = known.ranked([w for w, _, _ in licenses.terms(apache)], np.array([known.code.get(w, -1) for w, _, _ in licenses.terms(apache)]))
+    assert [r[0] for r in ranked] == sorted((r[0] for r in ranked), reverse=True) and len({r[2] for r in ranked}) > 1
+    monkeypatch.setattr(licenses.Templates, "saved", lambda self, words, template: (1, 1.0))
+    short, *_ = known.find(apache)
+    assert short[1] - short[0] < 0.2 * len(apache)
+    monkeypatch.setattr(licenses.Templates, "saved", lambda self, words, template: (1, licenses.LEAST_REDUCTION / 2))
+    assert known.find(apache) == []
+
+
+def test_windows_are_those_with_enough_words():
+    """Against counting the words of every window."""
+    known = licenses.prepared(licenses.TEMPLATES)
+    draw = random.Random(6)
+    for _ in range(40):
+        template = draw.randrange(len(known.named))
+        words = known.named[template][1]
+        text = [draw.choice(words + WORDS[:5]) for _ in range(draw.randrange(1, 40))] + words[: draw.randrange(len(words) + 1)] + WORDS[:3]
+        coded = np.array([known.code.get(w, -1) for w in text])
+        width = min(len(text), len(words) + int(licenses.MOST_ADDED * len(words)))
+        counts = [sum((Counter(text[i : i + width]) & Counter(words)).values()) for i in range(len(text) - width + 1)]
+        want, run = [], []
+        for i, n in enumerate([*counts, -1]):
+            if n >= licenses.LEAST_FOUND * len(words) - 1e-9:
+                run.append((-n, i))
+            elif run:
+                want.append((min(run)[1], min(run)[1] + width))
+                run = []
+        assert list(known.windows(coded, template)) == want
+
+
+def test_templates_without_words_of_licensing(spark):
+    df = documents(spark, ["one two three four five six", "all quiet here", None])
+    got = licenses.scan(df, templates=(("x", "two three four five"),)).collect()
+    assert [[n.license for n in r.notices] for r in sorted(got, key=lambda r: r.doc_id)] == [["x"], [], []]
+
+
 def test_licenses(spark):
     notice = "Permission is hereby granted, free of charge, to any person"
     mit = next(t for n, t in licenses.TEMPLATES if t.startswith(notice))
@@ -486,7 +575,7 @@ def test_pipeline_stages(spark, library):
     kept = {r.doc_id for r in quality.rules(docs).filter("kept").collect()}
     assert {r.doc_id for r in steps[1].collect()} == kept
     rows = sorted(steps[1].collect(), key=lambda r: r.doc_id)
-    _, least = brute_texts([r.text for r in rows])
+    _, least = brute_texts([r.text for r in rows], size=corpus_pipeline.SHINGLE)
     assert {r.doc_id for r in steps[2].collect()} == {rows[i].doc_id for i in set(least)}
     assert not any(brute_spans(r.text) for r in steps[3].collect())
     taken = {r.doc_id: r.copies for r in mixing.mixed(steps[3]).collect()}
@@ -506,3 +595,30 @@ def test_near_dedup_stage_takes_five_words(spark):
     assert two < five
     kept = corpus_pipeline.near_dedup(spark, documents(spark, texts), "")
     assert {r.doc_id for r in kept.collect()} == five
+
+
+INNER = """_row _s _d _z _c _copy _source _id _size _gone _src _doc _words _lang _text _new _assign _access _hex _random _grp _d2
+    id src doc size copies share bucket p weight place last extra kept base_failed n_shingles component_id own key band part
+    n bands digest _digest pieces x""".split()
+
+
+def test_every_stage_keeps_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    folder, at = "/root/testdata/sf0.001", 0
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n} "), "doc_id") for n in [*INNER, "a.b"]})
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns, name
+        same = [F.col(f"`{n}`") == F.concat(F.lit(f"{n} "), "doc_id") for n in [*INNER, "a.b"]]
+        assert found.count() > 0 and found.filter(~F.least(*same)).count() == 0, name
+    assert at == 3
+
+
+def test_every_stage_takes_an_empty_table(spark):
+    import corpus_pipeline
+
+    empty = documents(spark, ["x"]).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0, name

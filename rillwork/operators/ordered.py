@@ -21,7 +21,7 @@ from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rillwork.session import cut_lineage
@@ -58,10 +58,14 @@ class Split(NamedTuple):
     n_slices: int = 0
 
 
+def group_limit(spark: SparkSession, group_rows: int | None = None) -> int:
+    """Rows of one key for a single task: the given number, the session's, or the usual one."""
+    return int(spark.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS))) if group_rows is None else group_rows
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> Split:
     """Part the rows of keys with more than ``group_rows`` rows from all others."""
-    if group_rows is None:
-        group_rows = int(df.sparkSession.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS)))
+    group_rows = group_limit(df.sparkSession, group_rows)
     if df.count() <= group_rows:
         return Split(df)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rillwork.operators.ordered import lookup, number_rows
 from rillwork.session import cut_lineage
 
 #: Distinct ranked values up to which they are sent to every executor.
 BROADCAST_ROWS = 250_000
+#: Rows after which a task brings its highest values up to date.
+MERGED_ROWS = 100_000
 #: Hexadecimal digits of a hash by which a sample counts rows.
 DIGITS = 4
 
@@ -31,12 +37,15 @@ def top_values(
 ) -> DataFrame:
     """Rows ranked at most ``k`` by descending value within their keys.
 
-    The rank is worked out on each key's distinct values, cut to ``k`` before
-    they are shuffled, so neither a hot key nor a hot value gathers its rows.
-    The values that remain are written and counted; unless they are too many,
-    they go to where the rows are, and the rows are not shuffled at all.
+    Each task keeps the ``k`` highest distinct values of every key with their
+    counts, and those alone are shuffled: at most tasks * keys * k rows, however many
+    values there are and however often one comes.  A value among a key's first ``k``
+    is so in every task that has it, so its count is whole.  The values that remain
+    are written and counted; unless they are too many, they go to where the rows
+    are, and the rows are not shuffled at all.  Null ranks last, NaN first.
     """
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    highest = _highest_values(df.select(*keys, value), keys, value, k)
+    counts = highest.groupBy(*keys, value).agg(F.sum("_n").alias("_n"))
     falling = Window.partitionBy(*keys).orderBy(F.col(value).desc())
     best = counts.withColumn("_dense", F.row_number().over(falling)).filter(F.col("_dense") <= k)
     if dense:
@@ -48,6 +57,48 @@ def top_values(
     return lookup(df, best, [*keys, value], "inner", to_all=best.count() <= max_rows)
 
 
+def _highest_values(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
+    """Per task, the ``k`` highest distinct values of each key, and how often they came: ``_n``."""
+    schema = StructType([*df.schema.fields, StructField("_n", LongType())])
+    names = [*keys, value]
+    floating = df.schema[value].dataType.typeName() in ("float", "double")
+    # Plain names, because keys may have the names that grouping gives its columns.
+    plain = [f"c{i}" for i in range(len(names))]
+    order = [*[(c, "ascending") for c in plain[:-1]], ("odd", "descending"), (plain[-1], "descending")]
+
+    def combined(rows: pa.Table) -> pa.Table:
+        sums = rows.group_by(plain).aggregate([("n", "sum")]).rename_columns([*plain, "n"])
+        odd = pc.fill_null(pc.is_nan(sums[plain[-1]]), False) if floating else pa.nulls(len(sums), pa.bool_())
+        sums = sums.append_column("odd", odd).sort_by(order)
+        # The place of a row among those of its key: nulls sort last, so they are lowest, and equal keys are together.
+        starts = np.zeros(len(sums), dtype=bool)
+        starts[:1] = True
+        for c in plain[:-1]:
+            codes = sums[c].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            starts[1:] |= codes[1:] != codes[:-1]
+        at = np.arange(len(sums))
+        place = at - np.maximum.accumulate(np.where(starts, at, 0))
+        return sums.filter(pa.array(place < k)).select([*plain, "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        waiting: list[pa.Table] = []
+        for batch in batches:
+            rows = pa.table([*batch.columns, pa.array(np.ones(batch.num_rows, dtype=np.int64))], names=[*plain, "n"])
+            waiting.append(rows)
+            if sum(map(len, waiting)) >= max(MERGED_ROWS, len(held) if held else 0):
+                held, waiting = combined(pa.concat_tables([*([held] if held else []), *waiting])), []
+        if waiting:
+            held = combined(pa.concat_tables([*([held] if held else []), *waiting]))
+        if held is not None:
+            yield from held.rename_columns([*names, "_n"]).to_batches(max_chunksize=10_000)
+
+    if floating:
+        # Grouping here tells 0.0 and -0.0 apart, and Spark does not.
+        df = df.withColumn(value, F.col(value) + F.lit(0.0).cast(df.schema[value].dataType))
+    return df.select(*names).mapInArrow(run, StructType([*[schema[n] for n in names], schema["_n"]]))
+
+
 def sorted_within(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     """Rows of a group next to each other and in order.
 

@@ -46,6 +46,8 @@ MARGIN = 0.18
 #: Members of a component that is compared in blocks, and texts of a block.
 LARGE = 64
 BLOCK = 128
+#: Members of a band value that meet at once.
+PAIR_BLOCK = 1024
 
 
 def shingle_set(text: bytes | None, size: int) -> frozenset:
@@ -275,15 +277,27 @@ def still_open(members: DataFrame, parts: DataFrame, classes: DataFrame) -> Data
 def in_pairs(open_: DataFrame, least: int) -> DataFrame:
     """Likely pairs of one band value that lie in different components, none of them large.
 
-    A pair is given out in the first band that it agrees in.
+    The members of a band value are dealt into blocks of about ``PAIR_BLOCK``, and
+    each two blocks meet under a key of their own, so no task has all of them.  A pair
+    is given out in the first band that it agrees in.
     """
     small = open_.filter(F.col("size") < LARGE)
-    left = small.select("key", "band", *[F.col(c).alias(f"{c}_a") for c in ("id", "part", "n", "bands")])
-    right = small.select(F.col("key").alias("k"), *[F.col(c).alias(f"{c}_b") for c in ("id", "part", "n", "bands")])
+    blocks = small.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias("blocks"))
+    place = F.pmod(F.xxhash64(F.lit(6), "id"), F.col("blocks")).cast("int")
+    dealt = small.join(blocks.withColumnRenamed("key", "b"), F.col("key") == F.col("b")).withColumn("place", place)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"i": F.least("place", "other"), "j": F.greatest("place", "other")})
+    names = ("id", "part", "n", "bands", "place")
+    left = dealt.select("key", "i", "j", "band", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = dealt.select(*[F.col(c).alias(f"{c}_") for c in ("key", "i", "j")], *[F.col(c).alias(f"{c}_b") for c in names])
     same = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
     found = (
-        (F.col("key") == F.col("k"))
+        (F.col("key") == F.col("key_"))
+        & (F.col("i") == F.col("i_"))
+        & (F.col("j") == F.col("j_"))
         & (F.col("id_a") < F.col("id_b"))
+        # Two members of one block meet where the block meets itself.
+        & ((F.col("place_a") != F.col("place_b")) | (F.col("i") == F.col("j")))
         & (F.col("part_a") != F.col("part_b"))
         & (100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
         & (F.array_position(same, True) == F.col("band") + 1)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillwork.llm.common import saved
+from rillwork.operators.ordered import BROADCAST_KEYS, lookup, positions
 
 SLOTS = 16_384
 #: Bytes that a record counts besides its text.
@@ -24,9 +25,9 @@ SLACK = 0.5
 MAP = "version int, virtual_slot int, shard int, bytes bigint"
 
 
-def slot_of(id: Column, crc: Column) -> Column:
-    """A record's slot; the text's checksum spreads records that share an id, or have none."""
-    return F.pmod(F.xxhash64(F.lit(3), id, crc), F.lit(SLOTS)).cast("int")
+def slot_of(id: Column, crc: Column, *turn: Column) -> Column:
+    """A record's slot; the text's checksum spreads records that share an id, or have none, and ``turn`` repeated ones."""
+    return F.pmod(F.xxhash64(F.lit(3), id, crc, *turn), F.lit(SLOTS)).cast("int")
 
 
 def records(df: DataFrame, id: str, text: str) -> DataFrame:
@@ -37,6 +38,26 @@ def records(df: DataFrame, id: str, text: str) -> DataFrame:
     return sized.withColumn("virtual_slot", slot_of(F.col("id"), F.col("crc")))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give repeated records, after the first of each, slots by their turn.
+
+    Repeats are alike, so it does not matter which one has which turn.  Turns of very
+    many repeats are counted in slices.
+    """
+    rows = saved(rows.withColumn("_at", F.monotonically_increasing_id()), "records")
+    same = ["id", "crc", "size"]
+    many = saved(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "repeats")
+    n = many.count()
+    if not n:
+        return rows.drop("_at")
+    few = n <= BROADCAST_KEYS
+    turned = positions(lookup(rows, many, same, "left_semi", to_all=few), same, ["_at"], "_turn")
+    again = slot_of(F.col("id"), F.col("crc"), F.col("_turn"))
+    turned = turned.withColumn("virtual_slot", F.when(F.col("_turn") > 1, again).otherwise(F.col("virtual_slot")))
+    once = lookup(rows, many, same, "left_anti", to_all=few)
+    return saved(once.drop("_at").unionByName(turned.drop("_at", "_turn")), "records")
+
+
 def slot_bytes(rows: DataFrame) -> dict[int, int]:
     """Bytes per slot; at most ``SLOTS`` numbers reach the driver."""
     return {r.virtual_slot: r.n for r in rows.groupBy("virtual_slot").agg(F.sum("size").alias("n")).collect()}
@@ -114,12 +135,13 @@ def shard(df: DataFrame, map_path: str, shards: int, id: str = "doc_id", text: s
     equal (law ``bytes``).  Returns per row: its id, ``size``, ``text_crc32``,
     ``law``, ``shard``, ``slot`` (its place in the shard, without gaps from 0, by
     virtual slot and id), ``grown_shard`` (null), ``virtual_slot`` and ``version``.
-    A null text has no bytes, null ids and repeated rows are spread or placed like
-    others, an empty table gives an empty result, other columns are ignored.
+    A null text has no bytes; null ids are spread by their texts' checksums, repeated
+    rows by their turn; an empty table gives an empty result, other columns are
+    ignored.  Sizes alone decide: equal texts of different ids are not kept together.
     Calling it runs jobs.
     """
     spark = df.sparkSession
-    rows = saved(records(df, id, text), "records")
+    rows = spread(records(df, id, text))
     sizes = slot_bytes(rows)
     jvm = spark._jvm.org.apache.hadoop.fs.Path(map_path)
     there = jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)

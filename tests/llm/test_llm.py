@@ -219,6 +219,34 @@ def test_near_texts(spark, monkeypatch, large):
         assert minhash.near_texts(df.limit(0)).count() == 0
 
 
+def test_open_members_of_a_band_value_meet_in_blocks(spark, monkeypatch):
+    """Texts that share a long passage and a band value, but do not link: all pairs are tried, in blocks."""
+    draw = random.Random(23)
+    passage = [draw.choice(WORDS) for _ in range(120)]
+    texts = [" ".join(passage + [draw.choice(WORDS) + draw.choice(WORDS) for _ in range(45)]) for _ in range(60)]
+    texts += [t + " end" for t in texts[:9]]
+    sizes, least = brute_texts(texts)
+    for block in (4, 1024):
+        monkeypatch.setattr(minhash, "PAIR_BLOCK", block)
+        got = {r.doc_id: r.component_id for r in minhash.near_texts(documents(spark, texts), size=2).collect()}
+        assert [got[i] for i in range(len(texts))] == least
+
+
+def test_pairs_do_not_depend_on_blocks(spark, monkeypatch):
+    draw = random.Random(24)
+    rows = []
+    for i in range(90):
+        bands = [draw.randrange(2) if b < 30 else 7 for b in range(32)]
+        rows += [(b * 10 + bands[b], b, i, i % 40, 1, 10 + i % 3, bands) for b in range(32)]
+    open_ = spark.createDataFrame(rows, "key bigint, band int, id bigint, part bigint, size bigint, n bigint, bands array<bigint>")
+    monkeypatch.setattr(minhash, "estimate", lambda a, b, n, m: F.lit(1.0))
+    found = []
+    for block in (7, 1024):
+        monkeypatch.setattr(minhash, "PAIR_BLOCK", block)
+        found.append(sorted(tuple(r) for r in minhash.in_pairs(open_, 80).collect()))
+    assert found[0] == found[1] and len(found[0]) == len(set(found[0])) == sum(a % 40 != b % 40 for b in range(90) for a in range(b))
+
+
 def test_estimate_follows_similarity(spark):
     draw, rng = random.Random(8), np.random.default_rng(8)
     for share in (0.5, 0.8, 0.95):
@@ -362,6 +390,22 @@ def test_archives(spark, tmp_path, monkeypatch):
     assert warc.read_bundles(spark.read.schema(warc.BUNDLES).parquet(str(tmp_path / "none"))).count() == 0
 
 
+def test_repeated_rows_are_spread_over_shards(spark, tmp_path):
+    """4,000 equal rows, some of them without an id, among others that occur once."""
+    rows = [(1, "the same text", "en", "s", 13)] * 3000 + [(None, "the same text", "en", "s", 13)] * 1000
+    rows += [(i, f"text {i:09}", "en", "s", 14) for i in range(2, 500)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    for parts in (4, 2):
+        got = sharding.shard(df.repartition(parts), str(tmp_path / f"map{parts}"), 40).collect()
+        sizes, slots = Counter(), defaultdict(list)
+        for r in got:
+            sizes[r.shard] += r.size
+            slots[r.shard].append(r.slot)
+        assert len(got) == len(rows) and len(sizes) == 40
+        assert max(sizes.values()) - min(sizes.values()) <= 0.01 * max(sizes.values()) + 30
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # --- licenses ----------------------------------------------------------------
 
 

@@ -30,10 +30,19 @@ CELL_ROWS = 1024
 #: Most centres in all, and most sampled vectors per centre that they are fitted on.
 MOST_CENTRES = 4096
 FIT_PER_CENTRE = 64
+#: Most numbers in the sample of one label (256 MB), and rows of it that are compared with all centres at once.
+FIT_NUMBERS = 1 << 25
+FIT_ROWS = 1024
 ROUNDS = 6
 
 
-def unit(rows: list) -> np.ndarray:
+def matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of vectors of one length as rows, without a Python number for each component."""
+    column = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+
+
+def unit(rows) -> np.ndarray:
     """Rows as unit vectors in double precision; scaling first keeps squares in range."""
     x = np.array(rows, dtype=np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
@@ -59,10 +68,12 @@ def fit_centres(x: np.ndarray, k: int) -> np.ndarray:
         best = np.maximum(best, x @ centres[-1])
     c = np.array(centres)
     for _ in range(ROUNDS):
-        home = (x @ c.T).argmax(axis=1)
-        for i in range(k):
-            mine = x[home == i]
-            total = mine.sum(axis=0) if len(mine) else c[i]
+        # Products with all centres are taken for a few rows at a time.
+        home = np.concatenate([(x[i : i + FIT_ROWS] @ c.T).argmax(axis=1) for i in range(0, len(x), FIT_ROWS)])
+        order = np.argsort(home, kind="stable")
+        cells, first = np.unique(home[order], return_index=True)
+        for i, mine in zip(cells, np.split(order, first[1:])):
+            total = x[mine].sum(axis=0)
             size = np.sqrt(total @ total)
             c[i] = total / size if size > 0 else c[i]
     return c
@@ -72,12 +83,13 @@ def centres_of(classes: DataFrame, cell_rows: int) -> dict:
     """Centres per group with more than ``cell_rows`` vectors, at most ``MOST_CENTRES`` in all.
 
     They are fitted, one task per group, on up to about ``FIT_PER_CENTRE`` vectors
-    per centre, chosen by a hash of the vector.  Groups beyond the limit stay one
+    per centre, and ``FIT_NUMBERS`` numbers in all, chosen by a hash of the vector.  Groups beyond the limit stay one
     cell; their blocks are compared all the same.
     """
-    sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_rows)
+    sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"))
     share = (
-        sizes.select("grp", "n", F.ceil(F.col("n") / cell_rows).alias("k"))
+        sizes.filter(F.col("n") > cell_rows)
+        .select("grp", "n", "width", F.ceil(F.col("n") / cell_rows).alias("k"))
         .orderBy(F.desc("n"), "grp")
         .limit(MOST_CENTRES // 2)
         .collect()
@@ -86,10 +98,14 @@ def centres_of(classes: DataFrame, cell_rows: int) -> dict:
     if not share:
         return {}
     scale = min(1.0, MOST_CENTRES / wanted)
-    plan = {r.grp: (max(2, int(r.k * scale)), r.n) for r in share}
+    plan = {r.grp: (max(2, int(r.k * scale)), r.n, r.width) for r in share}
+
+    def sampled(k: int, n: int, width: int) -> float:
+        return min(1.0, min(FIT_PER_CENTRE * k, max(2 * k, FIT_NUMBERS // width)) / n)
+
     spark = classes.sparkSession
     part = spark.createDataFrame(
-        [(g, k, min(1.0, FIT_PER_CENTRE * k / n)) for g, (k, n) in plan.items()],
+        [(g, k, sampled(k, n, width)) for g, (k, n, width) in plan.items()],
         "grp string, k int, share double",
     )
     draw = F.pmod(F.xxhash64("vector"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
@@ -97,7 +113,7 @@ def centres_of(classes: DataFrame, cell_rows: int) -> dict:
 
     def fit(table: pa.Table) -> pa.Table:
         k = min(table["k"][0].as_py(), table.num_rows)
-        c = fit_centres(unit(table["vector"].to_pylist()), k)
+        c = fit_centres(unit(matrix(table["vector"])), k)
         return pa.table(
             [[table["grp"][0].as_py()], [c.ravel().tolist()], pa.array([k], pa.int32())],
             names=["grp", "centres", "k"],
@@ -107,6 +123,23 @@ def centres_of(classes: DataFrame, cell_rows: int) -> dict:
     return {r.grp: np.array(r.centres).reshape(r.k, -1) for r in fitted.collect()}
 
 
+def guest_cells(y: np.ndarray, home: np.ndarray, apart: np.ndarray, reach: float) -> list[list[int]]:
+    """Per row of cosines with the centres, the cells of smaller number that meet the bound against every centre.
+
+    Few cells meet it against the row's own centre, and only those are tried against the others.
+    """
+    near = y[np.arange(len(y)), home][:, None] - y <= reach * apart[home]
+    near &= np.arange(y.shape[1])[None, :] < home[:, None]
+    rows, cells = np.nonzero(near)
+    out: list[list[int]] = [[] for _ in range(len(y))]
+    for first in range(0, len(rows), FIT_ROWS):
+        r, c = rows[first : first + FIT_ROWS], cells[first : first + FIT_ROWS]
+        fits = (y[r] - y[r, c][:, None] - reach * apart[c]).max(axis=1) <= 0
+        for row, cell in zip(r[fits].tolist(), c[fits].tolist()):
+            out[row].append(cell)
+    return out
+
+
 def place(classes: DataFrame, centres: dict, least: float) -> DataFrame:
     """Each vector with its cell and the cells that it is a guest of."""
     reach = sqrt(2 - 2 * least) + 1e-9
@@ -121,16 +154,12 @@ def place(classes: DataFrame, centres: dict, least: float) -> DataFrame:
             groups = batch.column("grp").to_pylist()
             for g in set(groups) & set(centres):
                 at = [i for i, other in enumerate(groups) if other == g]
-                y = unit(batch.column("vector").take(pa.array(at)).to_pylist()) @ centres[g].T
-                # The largest violation of the bound over all other centres, per candidate cell.
-                over = np.stack(
-                    [(y - y[:, [i]] - reach * apart[g][i][None, :]).max(axis=1) for i in range(y.shape[1])],
-                    axis=1,
-                )
+                y = unit(matrix(batch.column("vector").take(pa.array(at)))) @ centres[g].T
                 home = y.argmax(axis=1)
+                found = guest_cells(y, home, apart[g], reach)
                 for row, i in enumerate(at):
                     cells[i] = home[row]
-                    guests[i] = np.flatnonzero(over[row, : home[row]] <= 0).tolist()
+                    guests[i] = found[row]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells), pa.array(guests, pa.list_(pa.int32()))],
                 names=[*batch.schema.names, "cell", "guest_of"],
@@ -212,7 +241,7 @@ def compare(table: pa.Table, least: float) -> pa.Table:
     side = np.array(table["side"])
     kind, i, j = (table[c][0].as_py() for c in ("kind", "i", "j"))
     ids, sizes = np.array(table["id"]), np.array(table["n"])
-    x = unit(table["vector"].to_pylist())
+    x = unit(matrix(table["vector"]))
     alone = kind == 0 and i == j
     a = np.flatnonzero(side == 0)
     b = a if alone else np.flatnonzero(side == 1)

@@ -303,6 +303,38 @@ def test_secrets(spark):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_random_spans_are_those_of_the_ratio(spark):
+    """Every token judged again in Python under the same trained models."""
+    draw = random.Random(29)
+    marks = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    texts = [None, ""]
+    for i in range(60):
+        parts = []
+        for _ in range(draw.randrange(1, 30)):
+            word = "".join(draw.choice(WORDS) for _ in range(draw.randrange(1, 12)))
+            odd = "".join(draw.choice(marks[: draw.choice([26, 52, 62, 66])]) for _ in range(draw.randrange(15, 40)))
+            parts.append(draw.choice([word, word, f"{word}{draw.randrange(100)}", odd, f"token={odd}", f"{draw.getrandbits(100):x}"]))
+        texts.append(draw.choice(" .é").join(parts))
+    df = documents(spark, texts)
+    spans = [f"_{k}" for k in secrets.KINDS]
+    with secrets.scratch(spark):
+        model = secrets.train(df, secrets.saved(secrets.with_base(df, "text").select(*spans[:3]), "spans"), "text")
+    wide, hits = len(marks) + 1, 0
+    for r in secrets.scan(df).select("text", *spans).collect():
+        plain = [(s.start, s.end) for k in spans[:3] for s in r[k]]
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", r.text or ""):
+            codes = [marks.index(c) + 1 for c in m[0]]
+            ratio = sum(model[a * wide + b] for a, b in zip(codes, codes[1:]))
+            both = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+            if both and ratio >= max(secrets.LEAST_RATIO, secrets.LEAST_MEAN * len(m[0])):
+                if not any(a < m.end() and m.start() < b for a, b in plain):
+                    want.append((m.start(), m.end()))
+        assert [(s.start, s.end) for s in r["_random"]] == want
+        hits += len(want)
+    assert hits > 20
+
+
 def test_texts_with_very_many_secrets(spark):
     """Spans and masks of thousands of matches in one text, over the edges of blocks."""
     draw = random.Random(19)

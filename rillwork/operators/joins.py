@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.operators.ordered import BROADCAST_KEYS, group_limit, lookup, running
+from rillwork.operators.ordered import BROADCAST_KEYS, dealt, group_limit, lookup, running
 from rillwork.session import cut_lineage
 
 #: Parts into which rows without a key are dealt.
@@ -63,18 +63,18 @@ def _salted(left: DataFrame, right: DataFrame, key: str, how: str, group_rows: i
     if not any(h is not None for h in hot.values()):
         return left.join(right, key, how)
 
-    def dealt(df: DataFrame, own: str, other: str, salts: tuple[str, str], mark: str) -> DataFrame:
+    def side(df: DataFrame, own: str, other: str, salts: tuple[str, str], mark: str) -> DataFrame:
         df = _with_parts(df, key, hot)
         # Null keys meet nothing, so their rows may go anywhere.
         parts = F.when(F.col(key).isNull(), F.lit(NULL_PARTS)).otherwise(F.col(own))
-        df = df.withColumn(salts[0], F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+        df = dealt(df, parts, salts[0])
         copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         return df.withColumn(salts[1], copies).withColumn(mark, F.lit(True)).withColumnsRenamed(
             {n: f"{n}{mark}" for n in hot}
         )
 
-    a = dealt(left, "_left_parts", "_right_parts", ("_a", "_b"), "_in_left")
-    b = dealt(right, "_right_parts", "_left_parts", ("_b", "_a"), "_in_right")
+    a = side(left, "_left_parts", "_right_parts", ("_a", "_b"), "_in_left")
+    b = side(right, "_right_parts", "_left_parts", ("_b", "_a"), "_in_right")
     joined = a.join(b, [key, "_a", "_b"], how)
     # A row without a partner is one only if the other side has no rows of its key in any part.
     lonely_right = F.col("_in_left").isNull() & (F.col("_left_parts_in_right") > 1)

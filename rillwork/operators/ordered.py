@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillwork.session import cut_lineage
 
@@ -49,6 +50,25 @@ def lookup(
     return joined.drop(*[f"_key_{n}" for n in names])
 
 
+def dealt(df: DataFrame, parts: Column, name: str) -> DataFrame:
+    """Add ``name``, a number from 0 to ``parts`` - 1 that rows get in turn.
+
+    Rows that have a choice are put in the order of their whole contents first, so
+    a task that is run again, with its rows in another order, deals them alike and
+    none is lost or doubled on the way to its part.  Only rows that are the same in
+    every column may change places.
+    """
+
+    def comparable(field: T.StructField) -> Column:
+        cell, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        return F.to_json(F.struct(cell)) if "map<" in kind or "variant" in kind else cell
+
+    row = F.struct(*[comparable(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    choice = parts > 1
+    ordered = df.sortWithinPartitions(F.when(choice, F.xxhash64(row)), F.when(choice, row))
+    return ordered.withColumn(name, F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+
+
 class Split(NamedTuple):
     """The rows of ordinary keys and, where there are any, of hot keys."""
 

@@ -9,7 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillwork.operators.ordered import BROADCAST_KEYS, lookup
+from rillwork.operators.ordered import BROADCAST_KEYS, dealt, lookup
 from rillwork.operators.sets import union_distinct
 from rillwork.session import cut_lineage
 
@@ -42,7 +42,7 @@ def save_table(
         sizes = df.groupBy(*partition_by).agg(F.ceil(F.count(F.lit(1)) / file_rows).cast("int").alias("_files"))
         sizes = cut_lineage(sizes)
         placed = lookup(df, sizes, partition_by, to_all=sizes.count() <= BROADCAST_KEYS)
-        placed = placed.withColumn("_file", F.pmod(F.monotonically_increasing_id(), "_files"))
+        placed = dealt(placed, F.col("_files"), "_file")
         writer = placed.repartition(*partition_by, "_file").select(*df.columns).write.partitionBy(*partition_by)
     writer.mode("overwrite").saveAsTable(table)
     return df.sparkSession.table(table)

@@ -31,9 +31,14 @@ HEX = r"[0-9a-f]{24,}+"
 LEAST_ASSIGNED = 6
 #: Tokens that the models judge, the characters they know, and the limits of the ratio: in all and per character.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}+"
+#: Ordinary words are whole ones that are too short to be judged: pieces of keys in the texts would be learnt as words.
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{3,19}+(?![A-Za-z0-9+/_=-])"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_RATIO = 12.0
 LEAST_MEAN = 0.5
+#: The limits for tokens without a digit: ordinary words run together come nearer to random strings than words with numbers do.
+LETTERS_RATIO = 40.0
+LETTERS_MEAN = 2.0
 #: Texts that give ordinary words, and caught values, that the models are trained on at most (about).
 TRAIN_TEXTS = 2_000
 TRAIN_VALUES = 20_000
@@ -171,7 +176,7 @@ def train(df: DataFrame, base: DataFrame, text: str) -> list[float]:
         F.count(F.lit(1)), F.sum(F.size("_assign") + F.size("_access") + F.size("_hex"))
     ).first()
     some = df.filter(F.col(text).isNotNull() & chosen(F.col(text), TRAIN_TEXTS, n_texts))
-    ordinary = some.select(F.explode(F.regexp_extract_all(text, F.lit("[A-Za-z_-]{3,}+"), F.lit(0))).alias("s"))
+    ordinary = some.select(F.explode(F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0))).alias("s"))
     caught = base.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("x")).select(
         F.col("x.value").alias("s")
     )
@@ -207,24 +212,28 @@ def scan(df: DataFrame, text: str = "text", id: str | None = None) -> DataFrame:
 
     Whole texts of any length are searched; null and empty texts have no spans; an
     empty table stays empty; repeated rows are searched like any others.  Spans of
-    the models overlap no span of the plain patterns.  Input columns of these four
-    names are replaced.  Calling it runs jobs: the texts are searched for the plain
+    the models overlap no span of the plain patterns; tokens without a digit have higher
+    limits, and those without a letter are no secrets, because the models cannot tell keys
+    of digits from other numbers.  Input columns of these four names are replaced.  Calling it runs jobs: the texts are searched for the plain
     patterns once for training and once for the result, so no copy of them is written.
     """
     base = with_base(df, text)
     with scratch(df.sparkSession):
         model = train(df, saved(base.select("_assign", "_access", "_hex"), "spans"), text)
     judged = F.transform(
-        F.filter(
-            found(F.col(text), TOKEN, "random"),
-            lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"),
+        F.filter(found(F.col(text), TOKEN, "random"), lambda s: s["value"].rlike("[A-Za-z]")),
+        lambda s: F.struct(
+            s.alias("span"), ratio(s["value"], model).alias("ratio"), s["value"].rlike("[0-9]").alias("digits")
         ),
-        lambda s: F.struct(s.alias("span"), ratio(s["value"], model).alias("ratio")),
     )
+
+    def limit(s: Column, with_digits: float, letters: float) -> Column:
+        return F.when(s["digits"], with_digits).otherwise(letters)
+
     random = F.filter(
         judged,
-        lambda s: (s["ratio"] >= LEAST_RATIO)
-        & (s["ratio"] >= LEAST_MEAN * F.length(s["span"]["value"]))
+        lambda s: (s["ratio"] >= limit(s, LEAST_RATIO, LETTERS_RATIO))
+        & (s["ratio"] >= limit(s, LEAST_MEAN, LETTERS_MEAN) * F.length(s["span"]["value"]))
         & ~reduce(lambda a, b: a | b, [overlaps(F.col(f"_{k}"), s["span"]["start"], s["span"]["end"]) for k in KINDS[:3]]),
     )
     return base.withColumn("_random", F.transform(random, lambda s: s["span"]))

@@ -326,8 +326,8 @@ def test_random_spans_are_those_of_the_ratio(spark):
         for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", r.text or ""):
             codes = [marks.index(c) + 1 for c in m[0]]
             ratio = sum(model[a * wide + b] for a, b in zip(codes, codes[1:]))
-            both = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-            if both and ratio >= max(secrets.LEAST_RATIO, secrets.LEAST_MEAN * len(m[0])):
+            limits = (secrets.LEAST_RATIO, secrets.LEAST_MEAN) if re.search("[0-9]", m[0]) else (secrets.LETTERS_RATIO, secrets.LETTERS_MEAN)
+            if re.search("[A-Za-z]", m[0]) and ratio >= max(limits[0], limits[1] * len(m[0])):
                 if not any(a < m.end() and m.start() < b for a, b in plain):
                     want.append((m.start(), m.end()))
         assert [(s.start, s.end) for s in r["_random"]] == want
@@ -335,6 +335,24 @@ def test_random_spans_are_those_of_the_ratio(spark):
     assert hits > 20
 
 
+def test_random_keys_of_letters_alone(spark):
+    """Found among ordinary words, which are left alone however many are run together; numbers are no keys."""
+    draw = random.Random(31)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    texts = []
+    for i in range(400):
+        words = [draw.choice(WORDS) + draw.choice(WORDS) for _ in range(80)]
+        words[draw.randrange(80)] = "".join(draw.choice(WORDS) for _ in range(8))
+        words[draw.randrange(80)] = str(draw.getrandbits(70))
+        if i % 2:
+            words[40] = "".join(draw.choice(letters) for _ in range(24))
+        texts.append(" ".join(words))
+    got = {r.doc_id: r for r in secrets.report(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        begin = len(" ".join(text.split()[:40])) + 1
+        assert got[i].spans == (f"random:{begin}:{begin + 24}" if i % 2 else "")
+
+
 def test_texts_with_very_many_secrets(spark):
     """Spans and masks of thousands of matches in one text, over the edges of blocks."""
     draw = random.Random(19)
